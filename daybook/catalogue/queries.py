@@ -23,7 +23,7 @@ from daybook.operators.upsert import upsert
 from daybook.plans.history import load_history
 from daybook.plans.merge import merge_run
 from daybook.schemas import ENTITIES, HISTORY_TABLE, RUN, TABLES
-from daybook.session import new_scratch_path
+from daybook.session import new_scratch_path, write_scratch
 from daybook.sources.drops import copy_drop, drop_path, read_text, write_csv
 from daybook.sources.tables import Lake
 
@@ -51,6 +51,11 @@ def clean(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return one_per_run_key(SILVER_RULES[entity].valid(bronze(spark, sf_dir, entity)), ENTITIES[entity])
 
 
+def stored_clean(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The clean rows as a stored table, for queries that use them more than once."""
+    return write_scratch(clean(spark, sf_dir, entity), f"clean-{entity}")[0]
+
+
 def silver_rejects(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     rejects = SILVER_RULES[entity].rejects(bronze(spark, sf_dir, entity), undecided=False)
     return as_text(rejects.drop("rejected_at"), ENTITIES[entity].conversions)
@@ -66,17 +71,17 @@ def _old_and_new(rows: DataFrame, column: str, was: str, becomes: str) -> tuple[
 
 
 def upsert_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = _old_and_new(clean(spark, sf_dir, "policies"), "status", "Cancelled", "Active")
+    old, new = _old_and_new(stored_clean(spark, sf_dir, "policies"), "status", "Cancelled", "Active")
     return upsert(old, new, ENTITIES["policies"].key)
 
 
 def upsert_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = _old_and_new(clean(spark, sf_dir, "payments"), "method", "CHECK", "ACH")
+    old, new = _old_and_new(stored_clean(spark, sf_dir, "payments"), "method", "CHECK", "ACH")
     return upsert(old, new, ENTITIES["payments"].key)
 
 
 def _holder_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    holders = clean(spark, sf_dir, "policyholders")
+    holders = stored_clean(spark, sf_dir, "policyholders")
     return holders.where(F.col(RUN) == FIRST_DAY), holders.where(F.col(RUN) == SECOND_DAY)
 
 
@@ -174,7 +179,7 @@ def gold_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All runs stored, one replaced by a recomputation over card payments, one cleared, one replaced by nothing."""
     table = "gold_payments_daily"
     lake = _scratch_lake(spark, table)
-    payments = clean(spark, sf_dir, "payments")
+    payments = stored_clean(spark, sf_dir, "payments")
     lake.overwrite_partitions(table, _stored(payments_daily(payments), table).hint("rebalance", RUN))
     card = payments.where((F.col(RUN) == "2026-02-03") & (F.col("method") == "CC"))
     lake.replace_partition(table, _stored(payments_daily(card), table), "2026-02-03")
@@ -215,7 +220,7 @@ def table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The policies upsert on stored tables."""
     table = "silver_policies"
     lake = _scratch_lake(spark, table)
-    old, new = _old_and_new(_stored(clean(spark, sf_dir, "policies"), table), "status", "Cancelled", "Active")
+    old, new = _old_and_new(_stored(stored_clean(spark, sf_dir, "policies"), table), "status", "Cancelled", "Active")
     lake.overwrite_partitions(table, old.hint("rebalance", RUN))
     merge_run(lake, table, new, NEXT_RUN)
     return lake.read(table).drop("_loaded_at", "_sourceFile")

@@ -15,11 +15,6 @@ def read_as(column: str, sql_type: str) -> Column:
     return F.col(column).try_cast(sql_type)
 
 
-def unreadable(column: str, sql_type: str) -> Column:
-    """True where text is present but does not read as the type; never NULL."""
-    return F.col(column).isNotNull() & read_as(column, sql_type).isNull()
-
-
 def as_typed(df: DataFrame, conversions: Mapping[str, str]) -> DataFrame:
     return df.select(*[read_as(c, conversions[c]).alias(c) if c in conversions else F.col(c) for c in df.columns])
 

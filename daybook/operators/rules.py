@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from typing import NamedTuple, Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.typing import read_as, unreadable
+from daybook.functions.typing import read_as
 
 
 class Rule(Protocol):
+    def holds(self) -> Column:
+        """True where the row satisfies the rule, FALSE or NULL elsewhere."""
+        ...
+
     def broken(self) -> Column:
-        """True where the row breaks the rule; may be NULL where the rule cannot be decided."""
+        """True where the row breaks the rule, NULL only where :meth:`undecided` is true."""
+        ...
+
+    def undecided(self) -> Column | None:
+        """True where the rule cannot be decided; None if it always can."""
         ...
 
 
@@ -23,9 +31,15 @@ class Rule(Protocol):
 class Present:
     column: str
 
+    def holds(self) -> Column:
+        return F.col(self.column).isNotNull()
+
     def broken(self) -> Column:
         return F.col(self.column).isNull()
 
+    def undecided(self) -> None:
+        return None
+
 
 @dataclass(frozen=True)
 class Readable:
@@ -34,41 +48,58 @@ class Readable:
     column: str
     sql_type: str
 
-    def broken(self) -> Column:
-        return unreadable(self.column, self.sql_type)
-
-
-@dataclass(frozen=True)
-class AtLeast:
-    """Number must not be below the bound. NaN passes: Spark orders it above every number."""
-
-    column: str
-    bound: float
-    sql_type: str = "double"
+    def holds(self) -> Column:
+        return F.col(self.column).isNull() | read_as(self.column, self.sql_type).isNotNull()
 
     def broken(self) -> Column:
-        return read_as(self.column, self.sql_type) < F.lit(self.bound)
+        return F.col(self.column).isNotNull() & read_as(self.column, self.sql_type).isNull()
+
+    def undecided(self) -> None:
+        return None
 
 
 @dataclass(frozen=True)
-class Above:
-    """Number must be greater than the bound. NaN passes."""
+class Number:
+    """The value must be there, read as a number, and not be below the bound (nor equal to it if ``exclusive``).
+
+    NaN passes: Spark orders it above every number. ``text`` columns are parsed once for all three conditions; on typed
+    columns the conditions stay simple comparisons, which Parquet scans use to skip row groups.
+    """
 
     column: str
     bound: float
-    sql_type: str = "double"
+    exclusive: bool = False
+    text: bool = False
+
+    def holds(self) -> Column:
+        value = read_as(self.column, "double") if self.text else F.col(self.column)
+        return value > self.bound if self.exclusive else value >= self.bound
 
     def broken(self) -> Column:
-        return read_as(self.column, self.sql_type) <= F.lit(self.bound)
+        if self.text:
+            return ~F.coalesce(self.holds(), F.lit(False))
+        value = F.col(self.column)
+        return value.isNull() | (value <= self.bound if self.exclusive else value < self.bound)
+
+    def undecided(self) -> None:
+        return None
 
 
 @dataclass(frozen=True)
 class HasLength:
+    """The text must have this many characters; nothing can be said about a missing one."""
+
     column: str
     length: int
 
+    def holds(self) -> Column:
+        return F.length(self.column) == self.length
+
     def broken(self) -> Column:
-        return F.length(self.column) != F.lit(self.length)
+        return F.length(self.column) != self.length
+
+    def undecided(self) -> Column:
+        return F.col(self.column).isNull()
 
 
 class Split(NamedTuple):
@@ -89,18 +120,27 @@ class RuleSet:
     rules: tuple[Rule, ...]
     undecided_reason: str
 
+    def holds(self) -> Column:
+        """True for valid rows, FALSE or NULL for all others."""
+        return reduce(and_, (rule.holds() for rule in self.rules))
+
     def broken(self) -> Column:
         return reduce(or_, (rule.broken() for rule in self.rules))
 
+    def rejected(self, *, undecided: bool = True) -> Column:
+        """Broken, or undecided as well. Never hidden in a function call, so that scans can use it."""
+        doubts = [d for d in (rule.undecided() for rule in self.rules) if d is not None] if undecided else []
+        return reduce(or_, doubts, self.broken())
+
     def valid(self, df: DataFrame) -> DataFrame:
-        return df.where(~self.broken())
+        return df.where(self.holds())
 
     def rejects(self, df: DataFrame, *, undecided: bool = True) -> DataFrame:
         """Rows on the other side, with reason and time. ``undecided=False`` leaves undecided rows out."""
-        broken = self.broken()
-        rejected = df.where(F.coalesce(broken, F.lit(True)) if undecided else broken)
-        reason = F.when(broken, F.lit(self.reason)).otherwise(F.lit(self.undecided_reason))
-        return rejected.withColumns({"reject_reason": reason, "rejected_at": F.current_timestamp()})
+        reason = F.when(self.broken(), F.lit(self.reason)).otherwise(F.lit(self.undecided_reason))
+        return df.where(self.rejected(undecided=undecided)).withColumns(
+            {"reject_reason": reason, "rejected_at": F.current_timestamp()}
+        )
 
     def split(self, df: DataFrame, *, undecided: bool = True) -> Split:
         return Split(self.valid(df), self.rejects(df, undecided=undecided))
@@ -118,19 +158,15 @@ BRONZE_RULES = {
         "BASIC_VALIDATION",
         Present("policy_id"),
         Readable("effective_date", "date"),
-        Present("written_premium"),
-        Readable("written_premium", "double"),
-        AtLeast("written_premium", 0.0),
+        Number("written_premium", 0.0, text=True),
     ),
     "policyholders": _rules("POLICYHOLDER", "BASIC_VALIDATION", Present("holder_id"), Present("policy_id")),
     "payments": _rules(
         "PAYMENT",
         "BASIC_VALIDATION",
         Present("payment_id"),
-        Present("amount"),
-        Readable("amount", "double"),
-        Above("amount", 0.0),
         Readable("payment_date", "date"),
+        Number("amount", 0.0, exclusive=True, text=True),
     ),
 }
 
@@ -141,8 +177,7 @@ SILVER_RULES = {
         "SILVER_RULES",
         Present("policy_id"),
         Present("effective_date"),
-        Present("written_premium"),
-        Above("written_premium", 0.0),
+        Number("written_premium", 0.0, exclusive=True),
         HasLength("state", 2),
     ),
     "policyholders": _rules(
@@ -153,8 +188,7 @@ SILVER_RULES = {
         "SILVER_RULES",
         Present("payment_id"),
         Present("policy_id"),
-        Present("amount"),
-        Above("amount", 0.0),
         Present("payment_date"),
+        Number("amount", 0.0, exclusive=True),
     ),
 }

@@ -14,11 +14,10 @@ FAILED = "FAILED"
 
 def bronze_counts(raw: DataFrame, rules: RuleSet) -> DataFrame:
     """Rows read, valid and rejected per run, in one pass."""
-    broken = rules.broken()
     return raw.groupBy(RUN).agg(
         F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(~broken).alias("rows_valid"),
-        F.count_if(F.coalesce(broken, F.lit(True))).alias("rows_rejected"),
+        F.count_if(rules.holds()).alias("rows_valid"),
+        F.count_if(rules.rejected()).alias("rows_rejected"),
     )
 
 
@@ -27,11 +26,10 @@ def silver_counts(bronze: DataFrame, rules: RuleSet, entity: Entity) -> DataFram
 
     The first level groups by key and combines in the map tasks, so neither a hot key nor a hot run is gathered.
     """
-    broken = rules.broken()
     per_key = bronze.groupBy(RUN, *entity.key).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max(F.when(~broken, 1).otherwise(0)).alias("has_valid"),
-        F.count_if(F.coalesce(broken, F.lit(True))).alias("n_rejected"),
+        F.max(F.when(rules.holds(), 1).otherwise(0)).alias("has_valid"),
+        F.count_if(rules.rejected()).alias("n_rejected"),
     )
     return per_key.groupBy(RUN).agg(
         F.sum("n").alias("rows_read"),

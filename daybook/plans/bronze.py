@@ -12,7 +12,7 @@ from daybook.schemas import Entity
 from daybook.sources.drops import read_drop
 from daybook.sources.tables import Lake
 
-BROKEN = "_broken"
+HOLDS = "_holds"
 
 
 def load_bronze(lake: Lake, entity: Entity, run_date: str, mode: str = "replace") -> Counts:
@@ -27,11 +27,10 @@ def load_bronze(lake: Lake, entity: Entity, run_date: str, mode: str = "replace"
     raw = read_drop(lake.spark, lake.drop_path("raw", entity.name, run_date), entity, run_date)
 
     seen = Observation()
-    broken = F.col(BROKEN)
-    marked = raw.withColumn(BROKEN, rules.broken()).observe(
-        seen, F.count(F.lit(1)).alias("read"), F.count_if(~broken).alias("valid")
+    marked = raw.withColumn(HOLDS, rules.holds()).observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(HOLDS).alias("valid")
     )
-    _write(lake, entity.bronze, as_typed(marked.where(~broken).drop(BROKEN), entity.conversions), run_date, mode)
+    _write(lake, entity.bronze, as_typed(marked.where(HOLDS).drop(HOLDS), entity.conversions), run_date, mode)
     read, valid = seen.get["read"], seen.get["valid"]
 
     if read > valid:

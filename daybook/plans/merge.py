@@ -56,9 +56,12 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
         rewritten = [run for run in replaced if run not in emptied]
 
         touched = target.where(F.col(RUN).isin([run_date, *rewritten]))
-        # Rows leave the join spread over its tasks; rebalancing by run avoids a file per task and run, and splits a
-        # run that is too big for one task.
-        lake.overwrite_partitions(table, upsert(touched, source, key).hint("rebalance", RUN))
+        result = upsert(touched, source, key)
+        if rewritten:
+            # Rows of several runs may leave the join spread over all its tasks; gathering them by run avoids a file
+            # per task and run, and a run too big for one task is split.
+            result = result.hint("rebalance", RUN)
+        lake.overwrite_partitions(table, result)
         for run in emptied:
             lake.clear_partition(table, run)
         return seen["n"]

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a long-running cluster session should have. Partition counts are left to AQE and to the cluster.
 SETTINGS = {
@@ -60,6 +60,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     system.delete(hadoop_path, True)
 
 
+def write_scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write rows once to the shared scratch folder; the rows as read from there, and their path.
+
+    Later steps start from files: a costly plan is not computed again, sizes are known for join planning, and a lost
+    executor costs no more than a re-read.
+    """
+    path = new_scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 @contextmanager
 def session_setting(spark: SparkSession, key: str, value: str):
     """Set one session option for the duration of a write and put the old value back."""

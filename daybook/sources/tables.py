@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schemas import TABLES, Table
-from daybook.session import make_folder, new_scratch_path, remove_path, session_setting
+from daybook.session import make_folder, remove_path, session_setting, write_scratch
 from daybook.sources.drops import drop_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -135,14 +135,9 @@ class Lake:
 
     @contextmanager
     def staged(self, df: DataFrame, label: str) -> Iterator[DataFrame]:
-        """Rows written once to the shared scratch folder and read back from there.
-
-        Later steps start from files: a costly plan is not computed again, sizes are known for join planning, and a
-        lost executor costs no more than a re-read.
-        """
-        path = new_scratch_path(self.spark, label)
-        df.write.parquet(path)
+        """Rows written once and read back for the steps in the block, then removed."""
+        rows, path = write_scratch(df, label)
         try:
-            yield self.spark.read.schema(df.schema).parquet(path)
+            yield rows
         finally:
             remove_path(self.spark, path)
