@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .config("spark.checkpoint.dir", str(scratch / "scratch"))
+        .config("spark.sql.maxMetadataStringLength", "10000")
     )
     session = with_settings(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,179 @@
+"""Tables: definition, order, replacement, clearing, staging, merge."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.operators.runs import completed_runs, recent, run_plan, run_status
+from daybook.plans.merge import merge_run
+from daybook.schemas import ENTITIES, LOG_TABLE, RUN, TABLES
+from daybook.sources.tables import Lake, checked_run_date
+
+GOLD = "gold_payments_daily"
+
+
+def gold(spark, *rows):
+    return spark.createDataFrame(
+        [(d, total, 1, run) for d, total, run in rows], "day string, payments_total double, payment_count bigint, _runDate string"
+    ).select(F.col("day").cast("date"), "payments_total", "payment_count", RUN, F.current_timestamp().alias("_loaded_at"))
+
+
+def per_run(lake, table=GOLD):
+    return {r[RUN]: r["count"] for r in lake.read(table).groupBy(RUN).count().collect()}
+
+
+def test_all_tables_with_documented_columns(spark, lake):
+    assert {r["tableName"] for r in lake.list_tables().collect()} == set(TABLES)
+    assert len(TABLES) == 17
+    for table in TABLES.values():
+        assert lake.read(table.name).schema.names == table.columns
+        assert lake.read(table.name).schema.simpleString() == table.schema.simpleString()
+    described = {r["col_name"]: r["data_type"] for r in lake.describe("bronze_policies").collect()}
+    assert described["effective_date"] == "date" and described["written_premium"] == "double"
+    assert "PARTITIONED BY (_runDate)" in lake.show_create("bronze_policies").first()[0]
+    assert "PARTITIONED BY (_runDate)" not in lake.show_create(LOG_TABLE).first()[0]
+
+
+def test_replace_clear_and_delete_all(spark, lake):
+    lake.append(GOLD, gold(spark, ("2026-01-01", 1.0, "2026-02-01"), ("2026-01-02", 2.0, "2026-02-02")))
+    lake.append(GOLD, gold(spark, ("2026-01-03", 1.0, "2026-02-01")))
+    assert per_run(lake) == {"2026-02-01": 2, "2026-02-02": 1}
+    lake.replace_partition(GOLD, gold(spark, ("2026-01-09", 9.0, "2026-02-01")), "2026-02-01")
+    assert per_run(lake) == {"2026-02-01": 1, "2026-02-02": 1}
+    # A rerun with an empty result leaves no stale row.
+    lake.replace_partition(GOLD, gold(spark).limit(0), "2026-02-01")
+    assert per_run(lake) == {"2026-02-02": 1}
+    lake.append(GOLD, gold(spark, ("2026-01-01", 1.0, "2026-02-03")))
+    lake.clear_partition(GOLD, "2026-02-02")
+    assert per_run(lake) == {"2026-02-03": 1}
+    lake.clear(GOLD)
+    assert per_run(lake) == {}
+
+
+def test_overwrite_partitions_may_read_the_table(spark, lake):
+    lake.append(GOLD, gold(spark, ("2026-01-01", 1.0, "2026-02-01"), ("2026-01-02", 2.0, "2026-02-02")))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    doubled = lake.read_run(GOLD, "2026-02-01").withColumn("payments_total", F.col("payments_total") * 2)
+    lake.overwrite_partitions(GOLD, doubled)
+    assert {r[RUN]: r["payments_total"] for r in lake.read(GOLD).collect()} == {"2026-02-01": 2.0, "2026-02-02": 2.0}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_tables_found_on_storage_are_registered(spark, lake):
+    lake.append(GOLD, gold(spark, ("2026-01-01", 1.0, "2026-02-01")))
+    other = Lake(spark, lake.base, lake.database + "_again").create()
+    assert per_run(other) == {"2026-02-01": 1}
+
+
+def test_save_by_name_creates_then_appends(spark, lake):
+    df = gold(spark, ("2026-01-01", 1.0, "2026-02-01"))
+    lake.save_by_name("kept_by_name", df)
+    lake.save_by_name("kept_by_name", df.select(*reversed(df.columns)))
+    assert spark.table(lake.name("kept_by_name")).count() == 2
+    spark.sql(f"DROP TABLE {lake.name('kept_by_name')}")
+
+
+def test_staged_rows_are_removed(spark, lake):
+    with lake.staged(spark.range(5).toDF("x"), "t") as rows:
+        path = rows.inputFiles()[0]
+        assert rows.count() == 5
+    assert not os.path.exists(os.path.dirname(path.removeprefix("file:").replace("///", "/")))
+
+
+@pytest.mark.parametrize("bad", ["", None, "2026-2-1", "2026-02-30", "2026-02-01' OR 1=1"])
+def test_run_date_is_checked(bad):
+    with pytest.raises(ValueError):
+        checked_run_date(bad)
+
+
+def payments(spark, rows, run):
+    columns = TABLES["silver_payments"].schema
+    df = spark.createDataFrame(
+        [(k, "P", float(v), "2026-01-01", "ACH", run, "f", run) for k, v in rows.items()],
+        "payment_id string, policy_id string, amount double, payment_date string, method string, runDate string, "
+        "_sourceFile string, _runDate string",
+    )
+    df = df.withColumns({"payment_date": F.col("payment_date").cast("date"), "_loaded_at": F.current_timestamp()})
+    return df.select(*columns.names)
+
+
+def test_merge_keeps_each_key_once_in_its_last_run(spark, lake):
+    rng = random.Random(2)
+    table, expected = "silver_payments", {}
+    for run in ("2026-02-01", "2026-02-02", "2026-02-03", "2026-02-03", "2026-02-02"):
+        batch = {f"k{rng.randrange(12):02d}": rng.randrange(100) for _ in range(6)}
+        assert merge_run(lake, table, payments(spark, batch, run), run) == len(batch)
+        expected |= {k: (float(v), run) for k, v in batch.items()}
+        found = [(r["payment_id"], (r["amount"], r[RUN])) for r in lake.read(table).collect()]
+        assert len(found) == len(expected) and dict(found) == expected
+
+
+def test_merge_clears_a_run_that_is_replaced_whole(spark, lake):
+    table, rows = "silver_payments", {"a": 1, "b": 2}
+    merge_run(lake, table, payments(spark, rows, "2026-02-01"), "2026-02-01")
+    merge_run(lake, table, payments(spark, rows, "2026-02-02"), "2026-02-02")
+    assert per_run(lake, table) == {"2026-02-02": 2}
+    assert merge_run(lake, table, payments(spark, {}, "2026-02-03"), "2026-02-03") == 0
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {lake.name(table)}").collect()] == ["_runDate=2026-02-02"]
+
+
+def test_merge_can_protect_newer_rows(spark, lake):
+    table = "silver_payments"
+    merge_run(lake, table, payments(spark, {"a": 2, "b": 2}, "2026-02-02"), "2026-02-02")
+    merge_run(lake, table, payments(spark, {"a": 1, "c": 1}, "2026-02-01"), "2026-02-01", keep_newer=True)
+    found = {r["payment_id"]: r["amount"] for r in lake.read(table).collect()}
+    assert found == {"a": 2.0, "b": 2.0, "c": 1.0}
+    merge_run(lake, table, payments(spark, {"a": 0}, "2026-02-01"), "2026-02-01")
+    assert {r["payment_id"]: r["amount"] for r in lake.read(table).collect()}["a"] == 0.0
+
+
+def log(spark, *rows):
+    return spark.createDataFrame(
+        [("n", layer, entity, run, status, message, f"{run} 0{i}:00:00") for i, (layer, entity, run, status, message) in enumerate(rows)],
+        "pipeline_name string, layer string, entity string, runDate string, status string, message string, t string",
+    ).withColumns({"started_at": F.col("t").cast("timestamp"), "ended_at": F.col("t").cast("timestamp")})
+
+
+def test_status_counts_the_latest_row_of_each_step(spark):
+    rows = log(
+        spark,
+        ("bronze", "a", "2026-02-01", "FAILED", "first try"),
+        ("bronze", "a", "2026-02-01", "SUCCESS", ""),
+        ("bronze", "a", "2026-02-02", "SUCCESS", ""),
+        ("silver", "a", "2026-02-02", "FAILED", "boom"),
+        ("silver", "b", "2026-02-02", "FAILED", "later"),
+    )
+    found = {r["runDate"]: r for r in run_status(rows, "test", "true").collect()}
+    assert (found["2026-02-01"]["status"], found["2026-02-01"]["errorMessage"]) == ("Success", "")
+    second = found["2026-02-02"]
+    assert (second["status"], second["activityName"], second["errorMessage"]) == ("Failure", "silver/a", "boom")
+    assert second["environment"] == "test" and second["exportCsv"] == "true"
+    assert [r["message"] for r in recent(rows, 2, F.col("ended_at").desc()).collect()] == ["later", "boom"]
+
+
+def test_run_plan(spark):
+    rows = log(
+        spark,
+        ("gold", "a", "2026-02-01", "SUCCESS", ""),
+        ("gold", "b", "2026-02-01", "SUCCESS", ""),
+        ("gold", "a", "2026-02-02", "SUCCESS", ""),
+        ("gold", "b", "2026-02-02", "FAILED", "x"),
+        ("silver", "a", "2026-02-03", "SUCCESS", ""),
+    )
+
+    def plan(last, today):
+        days = run_plan(rows, F.lit(last).cast("date"), F.lit(today).cast("date"))
+        return [r["runDate"] for r in days.collect()]
+
+    assert [r["runDate"] for r in completed_runs(rows).collect()] == ["2026-02-01"]
+    assert plan("2026-01-30", "2026-02-03") == ["2026-01-31", "2026-02-02", "2026-02-03"]
+    assert plan("2026-02-03", "2026-02-03") == [] and plan("2026-02-05", "2026-02-03") == []
+
+
+def test_entities_and_tables_agree():
+    for entity in ENTITIES.values():
+        for name in (entity.bronze, entity.bronze_rejects, entity.silver, entity.silver_rejects):
+            assert set(entity.columns) <= set(TABLES[name].columns)
+        assert TABLES[entity.silver].key == entity.key
