@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -163,10 +164,17 @@ def fact_dimension_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Tables and files
 
 
-def _scratch_lake(spark: SparkSession, *tables: str) -> Lake:
-    """A lake of its own in the shared scratch folder, with only the tables asked for."""
+@contextmanager
+def _scratch_lake(spark: SparkSession, *tables: str) -> Iterator[Lake]:
+    """A lake of its own in the shared scratch folder, with only the tables asked for.
+
+    The catalog forgets it afterwards; its files stay for the result, which is read from storage.
+    """
     lake = Lake(spark, new_scratch_path(spark, "lake"), f"daybook_{uuid.uuid4().hex}")
-    return lake.create(tables)
+    try:
+        yield lake.create(tables)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{lake.database}` CASCADE")
 
 
 def _stored(df: DataFrame, table: str) -> DataFrame:
@@ -178,31 +186,31 @@ def _stored(df: DataFrame, table: str) -> DataFrame:
 def gold_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All runs stored, one replaced by a recomputation over card payments, one cleared, one replaced by nothing."""
     table = "gold_payments_daily"
-    lake = _scratch_lake(spark, table)
     payments = stored_clean(spark, sf_dir, "payments")
-    lake.overwrite_partitions(table, _stored(payments_daily(payments), table).hint("rebalance", RUN))
     card = payments.where((F.col(RUN) == "2026-02-03") & (F.col("method") == "CC"))
-    lake.replace_partition(table, _stored(payments_daily(card), table), "2026-02-03")
     none = payments.where((F.col(RUN) == "2026-02-05") & (F.col("method") == "CASH"))
-    lake.replace_partition(table, _stored(payments_daily(none), table), "2026-02-05")
-    lake.clear_partition(table, "2026-02-07")
-    return lake.read(table).drop("_loaded_at")
+    with _scratch_lake(spark, table) as lake:
+        lake.overwrite_partitions(table, _stored(payments_daily(payments), table).hint("rebalance", RUN))
+        lake.replace_partition(table, _stored(payments_daily(card), table), "2026-02-03")
+        lake.replace_partition(table, _stored(payments_daily(none), table), "2026-02-05")
+        lake.clear_partition(table, "2026-02-07")
+    return lake.read_files(table).drop("_loaded_at")
 
 
 def rows_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "bronze_policies"
-    lake = _scratch_lake(spark, table)
-    lake.append(table, _stored(bronze(spark, sf_dir, "policies"), table))
-    return lake.read(table).groupBy(RUN).agg(F.count(F.lit(1)).alias("n_rows"))
+    with _scratch_lake(spark, table) as lake:
+        lake.append(table, _stored(bronze(spark, sf_dir, "policies"), table).hint("rebalance", RUN))
+    return lake.read_files(table).groupBy(RUN).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "gold_payments_daily"
-    lake = _scratch_lake(spark, table)
     result = _stored(payments_daily(clean(spark, sf_dir, "payments")), table)
-    lake.overwrite_partitions(table, result.hint("rebalance", RUN))
-    path = f"{lake.base}/export"
-    write_csv(lake.read(table).drop("_loaded_at"), path)
+    with _scratch_lake(spark, table) as lake:
+        lake.overwrite_partitions(table, result.hint("rebalance", RUN))
+        path = f"{lake.base}/export"
+        write_csv(lake.read(table).drop("_loaded_at"), path)
     types = {f.name: f.dataType.simpleString() for f in TABLES[table].schema}
     return as_typed(read_text(spark, path), types)
 
@@ -219,20 +227,20 @@ def raw_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The policies upsert on stored tables."""
     table = "silver_policies"
-    lake = _scratch_lake(spark, table)
     old, new = _old_and_new(_stored(stored_clean(spark, sf_dir, "policies"), table), "status", "Cancelled", "Active")
-    lake.overwrite_partitions(table, old.hint("rebalance", RUN))
-    merge_run(lake, table, new, NEXT_RUN)
-    return lake.read(table).drop("_loaded_at", "_sourceFile")
+    with _scratch_lake(spark, table) as lake:
+        lake.overwrite_partitions(table, old.hint("rebalance", RUN))
+        merge_run(lake, table, new, NEXT_RUN)
+    return lake.read_files(table).drop("_loaded_at", "_sourceFile")
 
 
 def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both holder days applied to the stored history, the second one twice."""
-    lake = _scratch_lake(spark, HISTORY_TABLE)
     first, second = (_stored(day, HOLDERS.silver) for day in _holder_days(spark, sf_dir))
-    for day, snapshot in ((FIRST_DAY, first), (SECOND_DAY, second), (SECOND_DAY, second)):
-        load_history(lake, day, snapshot)
-    return lake.read(HISTORY_TABLE).drop("_loaded_at", "_sourceFile")
+    with _scratch_lake(spark, HISTORY_TABLE) as lake:
+        for day, snapshot in ((FIRST_DAY, first), (SECOND_DAY, second), (SECOND_DAY, second)):
+            load_history(lake, day, snapshot)
+    return lake.read_files(HISTORY_TABLE).drop("_loaded_at", "_sourceFile")
 
 
 # Runs
@@ -255,7 +263,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows from the counts; a step with too many rejected rows counts as failed."""
     share = F.round(100 * F.col("rows_rejected") / F.col("rows_read"), 1)
     failed = 100 * F.col("rows_rejected") >= FAILED_SHARE * F.col("rows_read")
-    started = F.col("runDate").cast("timestamp")
+    started = F.to_timestamp(F.concat("runDate", F.lit("T00:00:00Z")))
     minutes = F.when(F.col("layer") == "bronze", 1).otherwise(2)
     return run_counts(spark, sf_dir).select(
         F.lit("daily_batch").alias("pipeline_name"),

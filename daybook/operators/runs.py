@@ -76,7 +76,8 @@ def run_status(log: DataFrame, environment: str = "dev", export_csv: str = "") -
         F.lit(environment).alias("environment"),
         F.col("pipeline_name").alias("pipelineName"),
         F.concat_ws("-", "pipeline_name", "runDate").alias("runId"),
-        F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("triggerTimeUtc"),
+        F.date_format(F.to_utc_timestamp("started_at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        .alias("triggerTimeUtc"),
         F.col("runDate"),
         F.lit(export_csv).alias("exportCsv"),
         F.coalesce(F.concat_ws("/", "first.layer", "first.entity"), F.lit("")).alias("activityName"),

@@ -49,9 +49,10 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def make_folder(spark: SparkSession, path: str) -> None:
+def make_folder(spark: SparkSession, path: str) -> bool:
+    """Create a folder unless it is there; whether it was created."""
     system, hadoop_path = _file_system(spark, path)
-    system.mkdirs(hadoop_path)
+    return not system.exists(hadoop_path) and system.mkdirs(hadoop_path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -57,12 +57,12 @@ class Lake:
 
     def create(self, tables: Iterable[str] = tuple(TABLES)) -> Lake:
         """Create what is missing. A table found on storage but new to the catalog gets its partitions registered."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.base}/tables'")
         for table in (TABLES[t] for t in tables):
             if not self.spark.catalog.tableExists(f"{self.database}.{table.name}"):
-                make_folder(self.spark, self.table_path(table.name))
+                found = not make_folder(self.spark, self.table_path(table.name))
                 self.spark.sql(self.ddl(table))
-                if table.partition:
+                if found and table.partition:
                     self.spark.sql(f"MSCK REPAIR TABLE {self.name(table.name)}")
         return self
 
@@ -89,6 +89,11 @@ class Lake:
         """The table with its columns in the documented order."""
         return self.spark.table(self.name(table)).select(*TABLES[table].columns)
 
+    def read_files(self, table: str) -> DataFrame:
+        """The same rows straight from storage, for a reader without the catalog."""
+        spec = TABLES[table]
+        return self.spark.read.schema(spec.schema).parquet(self.table_path(table)).select(*spec.columns)
+
     def read_run(self, table: str, run_date: str) -> DataFrame:
         """One partition of a table that is stored by run: the filter prunes all other folders."""
         return self.read(table).where(F.col(TABLES[table].partition) == run_date)

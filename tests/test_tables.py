@@ -65,6 +65,7 @@ def test_tables_found_on_storage_are_registered(spark, lake):
     lake.append(GOLD, gold(spark, ("2026-01-01", 1.0, "2026-02-01")))
     other = Lake(spark, lake.base, lake.database + "_again").create()
     assert per_run(other) == {"2026-02-01": 1}
+    assert other.read_files(GOLD).schema == lake.read(GOLD).schema and other.read_files(GOLD).count() == 1
 
 
 def test_save_by_name_creates_then_appends(spark, lake):
