@@ -247,11 +247,10 @@ def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = []
-    for name, entity in ENTITIES.items():
-        parts.append(runs.as_log(runs.bronze_counts(raw(spark, sf_dir, name), BRONZE_RULES[name]), "bronze", name))
-        typed = bronze(spark, sf_dir, name)
-        parts.append(runs.as_log(runs.silver_counts(typed, SILVER_RULES[name], entity), "silver", name))
+    parts = [
+        runs.layer_counts(raw(spark, sf_dir, name), BRONZE_RULES[name], SILVER_RULES[name], entity)
+        for name, entity in ENTITIES.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.typing import as_typed
 from daybook.operators.rules import RuleSet
 from daybook.schemas import ALERT, RUN, Entity, struct
 
@@ -12,41 +13,35 @@ SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 
 
-def bronze_counts(raw: DataFrame, rules: RuleSet) -> DataFrame:
-    """Rows read, valid and rejected per run, in one pass."""
-    return raw.groupBy(RUN).agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(rules.holds()).alias("rows_valid"),
-        F.count_if(rules.rejected()).alias("rows_rejected"),
-    )
-
+def layer_counts(raw: DataFrame, bronze: RuleSet, silver: RuleSet, entity: Entity) -> DataFrame:
+    """Rows read, valid and rejected per run, for the bronze and the silver layer, from one pass over the raw rows.
 
-def silver_counts(bronze: DataFrame, rules: RuleSet, entity: Entity) -> DataFrame:
-    """Rows read and rejected per run, and valid ones after one row per key is kept.
-
-    The first level groups by key and combines in the map tasks, so neither a hot key nor a hot run is gathered.
+    Silver counts valid rows after one row per key is kept. The first level groups by key and combines in the map
+    tasks, so neither a hot key nor a hot run is gathered in one place.
     """
-    per_key = bronze.groupBy(RUN, *entity.key).agg(
+    marked = raw.withColumn("_bronze", F.coalesce(bronze.holds(), F.lit(False)))
+    rows = as_typed(marked, entity.conversions)
+    in_bronze = F.col("_bronze")
+    per_key = rows.groupBy(RUN, *entity.key).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max(F.when(rules.holds(), 1).otherwise(0)).alias("has_valid"),
-        F.count_if(rules.rejected()).alias("n_rejected"),
-    )
-    return per_key.groupBy(RUN).agg(
-        F.sum("n").alias("rows_read"),
-        F.sum("has_valid").cast("bigint").alias("rows_valid"),
-        F.sum("n_rejected").alias("rows_rejected"),
-    )
-
-
-def as_log(counts: DataFrame, layer: str, entity: str) -> DataFrame:
-    return counts.select(
-        F.lit(layer).alias("layer"),
-        F.lit(entity).alias("entity"),
-        F.col(RUN).alias("runDate"),
-        "rows_read",
-        "rows_valid",
-        "rows_rejected",
+        F.count_if(in_bronze).alias("n_bronze"),
+        F.max(F.when(in_bronze & silver.holds(), 1).otherwise(0)).alias("kept"),
+        F.count_if(in_bronze & silver.rejected()).alias("n_refused"),
     )
+    sums = per_key.groupBy(RUN).agg(*[F.sum(c).alias(c) for c in ("n", "n_bronze", "kept", "n_refused")])
+
+    def layer(name: str, read: Column, valid: Column, rejected: Column) -> Column:
+        counts = {"rows_read": read, "rows_valid": valid, "rows_rejected": rejected}
+        return F.struct(
+            F.lit(name).alias("layer"),
+            F.lit(entity.name).alias("entity"),
+            F.col(RUN).alias("runDate"),
+            *[c.cast("bigint").alias(n) for n, c in counts.items()],
+        )
+
+    n, n_bronze, kept, n_refused = (F.col(c) for c in ("n", "n_bronze", "kept", "n_refused"))
+    layers = F.array(layer("bronze", n, n_bronze, n - n_bronze), layer("silver", n_bronze, kept, n_refused))
+    return sums.select(F.explode(layers).alias("row")).select("row.*")
 
 
 def recent(log: DataFrame, k: int, *order: Column) -> DataFrame:

@@ -10,21 +10,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def unmatched(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Target rows whose key does not occur in the source, of which only the keys are read.
+
+    An anti join: Spark broadcasts the keys when they are small and then leaves the big target unshuffled.
+    """
+    return target.join(source.select(*key), list(key), "left_anti")
+
+
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], newer_by: str | None = None) -> DataFrame:
     """Target rows without a match, plus the source rows: update all columns on a match, insert the rest.
 
-    ``source`` holds at most one row per key. It is read twice, once for its keys only, so that the big target is
-    filtered by an anti join: Spark broadcasts the keys when they are small and then leaves the target unshuffled.
-    Stage a costly source first. With ``newer_by`` a source row only wins over a target row whose value in that column
-    is not greater; by default the source always wins. An empty or missing target is the first load.
+    ``source`` holds at most one row per key. It is read twice, once for its keys only; stage a costly source first.
+    With ``newer_by`` a source row only wins over a target row whose value in that column is not greater; by default
+    the source always wins. An empty target is the first load.
     """
-    on = list(key)
     if newer_by is None:
-        kept, applied = target.join(source.select(*on), on, "left_anti"), source
+        kept, applied = unmatched(target, source, key), source
     else:
-        same_key = reduce(and_, (F.col(f"t.{c}") == F.col(f"s.{c}") for c in on))
+        same_key = reduce(and_, (F.col(f"t.{c}") == F.col(f"s.{c}") for c in key))
         target_newer = F.coalesce(F.col(f"t.{newer_by}") > F.col(f"s.{newer_by}"), F.lit(False))
-        narrow = [*on, newer_by]
+        narrow = [*key, newer_by]
         kept = target.alias("t").join(source.select(*narrow).alias("s"), same_key & ~target_newer, "left_anti")
         applied = source.alias("s").join(target.select(*narrow).alias("t"), same_key & target_newer, "left_anti")
     return kept.unionByName(applied)

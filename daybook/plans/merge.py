@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.upsert import upsert
+from daybook.operators.upsert import unmatched
 from daybook.schemas import RUN, TABLES
 from daybook.sources.tables import Lake
 
@@ -56,12 +56,12 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
         rewritten = [run for run in replaced if run not in emptied]
 
         touched = target.where(F.col(RUN).isin([run_date, *rewritten]))
-        result = upsert(touched, source, key)
+        kept = unmatched(touched, source, key)
         if rewritten:
             # Rows of several runs may leave the join spread over all its tasks; gathering them by run avoids a file
-            # per task and run, and a run too big for one task is split.
-            result = result.hint("rebalance", RUN)
-        lake.overwrite_partitions(table, result)
+            # per task and run, and a run too big for one task is split. The new rows keep their staged files' layout.
+            kept = kept.hint("rebalance", RUN)
+        lake.overwrite_partitions(table, kept.unionByName(source))
         for run in emptied:
             lake.clear_partition(table, run)
         return seen["n"]

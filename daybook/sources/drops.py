@@ -54,9 +54,9 @@ def write_csv(df: DataFrame, path: str, single_file_rows: int = 1_000_000) -> No
     """CSV snapshot with header, replacing the folder.
 
     One file while the rows fit the bound, which one task can write; beyond it as many files as there are tasks, with
-    all rows. ``df`` is counted first, so pass stored rows rather than a long plan.
+    all rows. ``df`` is counted first, which costs footers only for stored rows; a bound of 0 skips the count.
     """
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
+    small = single_file_rows > 0 and df.count() <= single_file_rows
     out = df.coalesce(1) if small else df
     out.write.mode("overwrite").options(**DIALECT, **UNTRIMMED).csv(path)
 
