@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daybook.operators.aggregates import active_policies_daily, payments_daily, written_premium_daily
 from daybook.plans.counts import Counts
 from daybook.schemas import TABLES
+from daybook.session import shuffles_sized_for
 from daybook.sources.drops import write_csv
 from daybook.sources.tables import Lake
 
@@ -37,7 +38,8 @@ def load_gold(lake: Lake, aggregate: Aggregate, run_date: str) -> Counts:
     """Replace one run of one aggregate; an empty result clears the run."""
     slice_ = lake.read_run(aggregate.source, run_date)
     result = aggregate.compute(slice_).withColumn("_loaded_at", F.current_timestamp())
-    lake.replace_partition(aggregate.table, result, run_date)
+    with shuffles_sized_for(slice_):
+        lake.replace_partition(aggregate.table, result, run_date)
     # Both counts read file footers only.
     return Counts(slice_.count(), lake.read_run(aggregate.table, run_date).count(), 0)
 

@@ -9,6 +9,7 @@ from daybook.operators.history import as_versions, changed_versions, expired_ver
 from daybook.operators.upsert import upsert
 from daybook.plans.counts import Counts
 from daybook.schemas import ENTITIES, HISTORY_TABLE, OPEN_END
+from daybook.session import shuffles_sized_for
 from daybook.sources.tables import Lake
 
 HOLDERS = ENTITIES["policyholders"]
@@ -32,7 +33,8 @@ def load_history(
     open_versions = history.where(F.col("effective_end_date") == OPEN_END)
 
     versions = as_versions(snapshot, HOLDERS.tracked, run_date).select(*history.columns)
-    with lake.staged(changed_versions(versions, open_versions, key), HISTORY_TABLE) as changes:
+    changed = changed_versions(versions, open_versions, key)
+    with shuffles_sized_for(versions, open_versions), lake.staged(changed, HISTORY_TABLE) as changes:
         seen = changes.agg(
             F.count(F.lit(1)).alias("changed"),
             F.count("replaced_start").alias("closed"),

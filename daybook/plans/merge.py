@@ -7,11 +7,14 @@ into their own partition, and only older partitions that hold a replaced key are
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.upsert import unmatched
 from daybook.schemas import RUN, TABLES
+from daybook.session import shuffles_sized_for
 from daybook.sources.tables import Lake
 
 
@@ -22,9 +25,9 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
     brings the table to the same state.
     """
     key = list(TABLES[table].key)
-    with lake.staged(batch, table) as batch:
+    with shuffles_sized_for(batch), lake.staged(batch, table) as rows:
         bounds = [f(k).alias(f"{name}_{k}") for k in key for name, f in (("min", F.min), ("max", F.max))]
-        seen = batch.agg(F.count(F.lit(1)).alias("n"), *bounds).first()
+        seen = rows.agg(F.count(F.lit(1)).alias("n"), *bounds).first()
         if not seen["n"]:
             return 0
 
@@ -34,34 +37,38 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
         for k in key:
             in_range = in_range.where(F.col(k).between(F.lit(seen[f"min_{k}"]), F.lit(seen[f"max_{k}"])))
 
-        source = batch
-        if keep_newer:
-            newer = in_range.where(F.col(RUN) > run_date).select(*key)
-            source = batch.join(newer, key, "left_anti")
-
-        # At most one row per stored run comes back to the driver.
-        others = in_range.where(F.col(RUN) != run_date)
-        replaced = {
-            r[RUN]: r["n"]
-            for r in others.select(RUN, *key)
-            .join(source.select(*key), key, "left_semi")
-            .groupBy(RUN)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        }
-        sizes = {
-            r[RUN]: r["count"] for r in target.where(F.col(RUN).isin(list(replaced))).groupBy(RUN).count().collect()
-        } if replaced else {}
+        with shuffles_sized_for(rows, in_range.select(RUN, *key)):
+            if keep_newer:
+                newer = in_range.where(F.col(RUN) > run_date).select(*key)
+                rows = rows.join(newer, key, "left_anti")
+            replaced = _replaced_per_run(in_range.where(F.col(RUN) != run_date), rows, key)
+        sizes = _rows_per_run(target, replaced)
         emptied = sorted(run for run, n in replaced.items() if n == sizes[run])
-        rewritten = [run for run in replaced if run not in emptied]
+        rewritten = sorted(set(replaced) - set(emptied))
 
         touched = target.where(F.col(RUN).isin([run_date, *rewritten]))
-        kept = unmatched(touched, source, key)
-        if rewritten:
-            # Rows of several runs may leave the join spread over all its tasks; gathering them by run avoids a file
-            # per task and run, and a run too big for one task is split. The new rows keep their staged files' layout.
-            kept = kept.hint("rebalance", RUN)
-        lake.overwrite_partitions(table, kept.unionByName(source))
+        with shuffles_sized_for(rows, touched):
+            kept = unmatched(touched, rows, key)
+            if rewritten:
+                # Rows of several runs may leave the join spread over all its tasks; gathering them by run avoids a
+                # file per task and run, and a run too big for one task is split. The new rows keep their staged
+                # files' layout.
+                kept = kept.hint("rebalance", RUN)
+            lake.overwrite_partitions(table, kept.unionByName(rows))
         for run in emptied:
             lake.clear_partition(table, run)
         return seen["n"]
+
+
+def _replaced_per_run(others: DataFrame, rows: DataFrame, key: list[str]) -> dict[str, int]:
+    """How many rows of each stored run the batch replaces; one small row per run reaches the driver."""
+    hits = others.select(RUN, *key).join(rows.select(*key), key, "left_semi")
+    return {r[RUN]: r["n"] for r in hits.groupBy(RUN).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _rows_per_run(target: DataFrame, runs: Iterable[str]) -> dict[str, int]:
+    """Rows stored per run, from file footers."""
+    wanted = list(runs)
+    if not wanted:
+        return {}
+    return {r[RUN]: r["count"] for r in target.where(F.col(RUN).isin(wanted)).groupBy(RUN).count().collect()}

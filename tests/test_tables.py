@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from daybook import session
 from daybook.operators.runs import completed_runs, recent, run_plan, run_status
 from daybook.plans.merge import merge_run
 from daybook.schemas import ENTITIES, LOG_TABLE, RUN, TABLES
@@ -130,6 +131,21 @@ def test_merge_can_protect_newer_rows(spark, lake):
     assert {r["payment_id"]: r["amount"] for r in lake.read(table).collect()}["a"] == 0.0
 
 
+def test_shuffles_are_sized_for_their_input(spark, tmp_path, monkeypatch):
+    spark.range(10000).write.parquet(str(tmp_path / "x"))
+    df, key = spark.read.parquet(str(tmp_path / "x")), session.SHUFFLE_PARTITIONS
+    before, size = spark.conf.get(key), session.estimated_bytes(df)
+    with session.shuffles_sized_for(df):
+        assert spark.conf.get(key) == before
+    monkeypatch.setattr(session, "BYTES_PER_SHUFFLE_TASK", size // 20)
+    with session.shuffles_sized_for(df, df):
+        assert int(spark.conf.get(key)) >= 40
+    # Rows of unknown size change nothing.
+    with session.shuffles_sized_for(df, spark.createDataFrame([(1,)], "a int")):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
+
+
 def log(spark, *rows):
     return spark.createDataFrame(
         [("n", layer, entity, run, status, message, f"{run} 0{i}:00:00") for i, (layer, entity, run, status, message) in enumerate(rows)],
