@@ -145,7 +145,8 @@ SELECT CASE WHEN f.runDate IS NULL THEN 'Success' ELSE 'Failure' END AS status,
 FROM (SELECT DISTINCT runDate FROM log) r LEFT JOIN firsts f ON f.runDate = r.runDate"""
 
 RUN_PLAN = f"""
-WITH {_LOG}, done AS (SELECT runDate FROM log WHERE layer = 'bronze' GROUP BY runDate HAVING NOT bool_or(failed)),
+WITH {_LOG}, done AS (SELECT runDate FROM log WHERE layer = 'bronze' GROUP BY runDate
+ HAVING NOT bool_or(failed) AND count(DISTINCT entity) FILTER (entity IN ('policies', 'payments')) = 2),
 days AS (SELECT CAST(CAST(unnest(generate_series(DATE '2026-01-31', DATE '2026-02-10', INTERVAL 1 DAY)) AS DATE) AS VARCHAR)
  AS runDate)
 SELECT runDate FROM days WHERE runDate NOT IN (SELECT runDate FROM done)"""

@@ -278,7 +278,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     last, today = F.lit("2026-01-30").cast("date"), F.lit("2026-02-10").cast("date")
-    return runs.run_plan(_log(spark, sf_dir), last, today, layer="bronze")
+    return runs.run_plan(_log(spark, sf_dir), last, today, layer="bronze", required=("policies", "payments"))
 
 
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:

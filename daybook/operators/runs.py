@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,15 +83,18 @@ def run_status(log: DataFrame, environment: str = "dev", export_csv: str = "") -
     ).select(*struct(ALERT).names)
 
 
-def completed_runs(log: DataFrame, layer: str = "gold") -> DataFrame:
-    """Run dates whose every step of the layer has a success row."""
+def completed_runs(log: DataFrame, layer: str, required: Sequence[str]) -> DataFrame:
+    """Run dates where every required step of the layer, and every other one that was tried, has a success row."""
     per_step = log.where(F.col("layer") == layer).groupBy("runDate", "entity").agg(
         F.bool_or(F.col("status") == SUCCESS).alias("done")
     )
-    return per_step.groupBy("runDate").agg(F.bool_and("done").alias("done")).where("done").select("runDate")
+    per_run = per_step.groupBy("runDate").agg(
+        F.bool_and("done").alias("all_done"), F.count_if(F.col("entity").isin(*required)).alias("n_required")
+    )
+    return per_run.where(F.col("all_done") & (F.col("n_required") == len(set(required)))).select("runDate")
 
 
-def run_plan(log: DataFrame, last: Column, today: Column, layer: str = "gold") -> DataFrame:
+def run_plan(log: DataFrame, last: Column, today: Column, layer: str, required: Sequence[str]) -> DataFrame:
     """Run dates after ``last`` up to ``today`` that are not completed in the log, oldest first.
 
     ``last`` and ``today`` are date expressions; with ``last`` NULL or not before ``today`` there is nothing to do.
@@ -98,4 +103,4 @@ def run_plan(log: DataFrame, last: Column, today: Column, layer: str = "gold") -
     # sequence() counts backwards when the end lies before the start, hence the guard.
     days = F.when(last < today, F.sequence(F.date_add(last, 1), today))
     wanted = spark.range(1).select(F.explode(days).alias("day")).select(F.col("day").cast("string").alias("runDate"))
-    return wanted.join(completed_runs(log, layer), "runDate", "left_anti").orderBy("runDate")
+    return wanted.join(completed_runs(log, layer, required), "runDate", "left_anti").orderBy("runDate")

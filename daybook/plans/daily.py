@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from daybook.operators.runs import run_plan
 from daybook.plans.bronze import load_bronze
+from daybook.plans.counts import Counts
 from daybook.plans.gold import AGGREGATES, export_gold, load_gold
 from daybook.plans.history import load_history
 from daybook.plans.runlog import logged, write_run_alert
@@ -24,10 +26,9 @@ def is_true(value: str | bool) -> bool:
     return value if isinstance(value, bool) else value.strip().lower() in TRUE_TEXTS
 
 
-def copy_landing(lake: Lake, run_date: str) -> None:
-    """Landing to raw for all entities, in order; the first failure stops the rest."""
-    for name in ENTITIES:
-        copy_drop(lake.spark, lake.drop_path("landing", name, run_date), lake.drop_path("raw", name, run_date))
+def copy_landing(lake: Lake, entity: str, run_date: str) -> Counts:
+    n_rows = copy_drop(lake.spark, lake.drop_path("landing", entity, run_date), lake.drop_path("raw", entity, run_date))
+    return Counts(n_rows, n_rows, 0)
 
 
 def run_day(
@@ -39,25 +40,30 @@ def run_day(
     bronze_mode: str = "replace",
     environment: str = "dev",
 ) -> None:
-    """Raw to bronze, silver, history and gold for one run date; safe to repeat.
+    """Raw to bronze, silver, history and gold for one run date, in order; safe to repeat.
 
-    Every step logs its counts. The alert record is written on success and on failure.
+    Every step logs its counts; the first failure stops the rest. The alert record is written on success and on failure.
     """
     run_date = checked_run_date(run_date)
     export = is_true(export_csv)
+
+    def step(layer: str, entity: str, work: Callable[..., Counts], *args) -> None:
+        logged(lake, layer, entity, run_date, lambda: work(lake, *args))
+
     try:
         if from_landing:
-            copy_landing(lake, run_date)
+            for name in ENTITIES:
+                step("raw", name, copy_landing, name, run_date)
         for name, entity in ENTITIES.items():
-            logged(lake, "bronze", name, run_date, lambda e=entity: load_bronze(lake, e, run_date, bronze_mode))
+            step("bronze", name, load_bronze, entity, run_date, bronze_mode)
         for name, entity in ENTITIES.items():
-            logged(lake, "silver", name, run_date, lambda e=entity: load_silver(lake, e, run_date))
-        logged(lake, "history", "policyholders", run_date, lambda: load_history(lake, run_date))
+            step("silver", name, load_silver, entity, run_date)
+        step("history", "policyholders", load_history, run_date)
         for aggregate in AGGREGATES:
-            logged(lake, "gold", aggregate.export_name, run_date, lambda a=aggregate: load_gold(lake, a, run_date))
+            step("gold", aggregate.export_name, load_gold, aggregate, run_date)
         if export:
             for aggregate in AGGREGATES:
-                export_gold(lake, aggregate, run_date)
+                step("gold", f"{aggregate.export_name}_csv", export_gold, aggregate, run_date)
     finally:
         write_run_alert(lake, run_date, environment, "true" if export else "false")
 
@@ -66,7 +72,8 @@ def pending_runs(lake: Lake, last: str, today: str | None = None) -> list[str]:
     """Run dates after ``last`` up to today without a completed run; a handful of strings."""
     start = F.lit(checked_run_date(last)).cast("date")
     end = F.lit(checked_run_date(today or date.today().isoformat())).cast("date")
-    return [r["runDate"] for r in run_plan(lake.read(LOG_TABLE), start, end).collect()]
+    steps = [a.export_name for a in AGGREGATES]
+    return [r["runDate"] for r in run_plan(lake.read(LOG_TABLE), start, end, "gold", steps).collect()]
 
 
 def run_range(lake: Lake, last: str, today: str | None = None, export_csv: str | bool = False, **options) -> list[str]:

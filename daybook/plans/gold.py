@@ -49,8 +49,9 @@ def full_refresh(lake: Lake, aggregate: Aggregate) -> DataFrame:
     return aggregate.compute(lake.read(aggregate.source), by=())
 
 
-def export_gold(lake: Lake, aggregate: Aggregate, run_date: str, single_file_rows: int = 1_000_000) -> str:
+def export_gold(lake: Lake, aggregate: Aggregate, run_date: str, single_file_rows: int = 1_000_000) -> Counts:
     """CSV snapshot of one stored run: the stored rows are read back, the aggregate is not computed again."""
-    path = lake.export_path(run_date, aggregate.export_name)
-    write_csv(lake.read_run(aggregate.table, run_date), path, single_file_rows)
-    return path
+    rows = lake.read_run(aggregate.table, run_date)
+    write_csv(rows, lake.export_path(run_date, aggregate.export_name), single_file_rows)
+    n_rows = rows.count()
+    return Counts(n_rows, n_rows, 0)

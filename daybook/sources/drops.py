@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -44,10 +44,12 @@ def read_drop(spark: SparkSession, path: str, entity: Entity, run_date: str) ->
     )
 
 
-def copy_drop(spark: SparkSession, source: str, target: str) -> None:
-    """Landing to raw: same rows and columns, every field quoted. A rerun replaces the copy."""
-    copied = read_text(spark, source, part_files_only=True)
-    copied.write.mode("overwrite").options(**DIALECT, **UNTRIMMED, quoteAll="true").csv(target)
+def copy_drop(spark: SparkSession, source: str, target: str) -> int:
+    """Landing to raw: same rows and columns, every field quoted. A rerun replaces the copy. Returns the rows copied."""
+    seen = Observation()
+    rows = read_text(spark, source, part_files_only=True).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("overwrite").options(**DIALECT, **UNTRIMMED, quoteAll="true").csv(target)
+    return seen.get["n"]
 
 
 def write_csv(df: DataFrame, path: str, single_file_rows: int = 1_000_000) -> None:

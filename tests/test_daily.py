@@ -94,7 +94,10 @@ def test_every_table_matches_sql(done, con):
 
 def test_log_counts_and_alerts(spark, done):
     rows = {(r["layer"], r["entity"], r["runDate"]): r for r in done.read(LOG_TABLE).collect()}
-    assert len(rows) == 2 * 10 and {r["status"] for r in rows.values()} == {"SUCCESS"}
+    # Three copies, three bronze, three silver, one history, three aggregates and their exports.
+    assert len(rows) == 2 * 16 and {r["status"] for r in rows.values()} == {"SUCCESS"}
+    for name in ENTITIES:
+        assert rows["raw", name, DAYS[0]]["rows_read"] == rows["bronze", name, DAYS[0]]["rows_read"] > 0
     for name, entity in ENTITIES.items():
         for day in DAYS:
             bronze, silver = rows["bronze", name, day], rows["silver", name, day]
@@ -149,6 +152,11 @@ def test_catch_up_and_failure(spark, done):
         alert = json.loads(f.read())
     assert len(alert) == 10 and alert["status"] == "Failure" and alert["activityName"] == "bronze/policies"
     assert pending_runs(done, "2026-01-31", "2026-02-03") == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_day(done, "2026-02-05", from_landing=True)
+    last = recent_log(done, 1).first()
+    assert (last["layer"], last["entity"], last["status"]) == ("raw", "policies", "FAILED")
+    assert os.path.isdir(f"{done.base}/logs/alerts/pipeline=daily_batch/run=2026-02-05")
 
 
 def test_append_mode_adds_rows_again(done):

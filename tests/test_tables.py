@@ -181,10 +181,13 @@ def test_run_plan(spark):
     )
 
     def plan(last, today):
-        days = run_plan(rows, F.lit(last).cast("date"), F.lit(today).cast("date"))
+        days = run_plan(rows, F.lit(last).cast("date"), F.lit(today).cast("date"), "gold", ["a", "b"])
         return [r["runDate"] for r in days.collect()]
 
-    assert [r["runDate"] for r in completed_runs(rows).collect()] == ["2026-02-01"]
+    assert [r["runDate"] for r in completed_runs(rows, "gold", ["a", "b"]).collect()] == ["2026-02-01"]
+    # A run that stopped before its last step is not complete, and neither is one whose extra step failed.
+    assert completed_runs(rows, "gold", ["a", "b", "c"]).count() == 0
+    assert completed_runs(rows, "gold", ["a"]).count() == 1
     assert plan("2026-01-30", "2026-02-03") == ["2026-01-31", "2026-02-02", "2026-02-03"]
     assert plan("2026-02-03", "2026-02-03") == [] and plan("2026-02-05", "2026-02-03") == []
 
