@@ -31,14 +31,14 @@ def scratch_folder(spark: SparkSession) -> str:
 
     Only a local master without that setting gets a temporary folder of its own; a cluster must name one.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="daybook-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_scratch_path(spark: SparkSession, label: str) -> str:

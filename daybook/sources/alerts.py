@@ -9,9 +9,13 @@ from daybook.schemas import ALERT, struct
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Append records under ``pipeline=<name>/run=<date>/``; all ten fields stay in the document itself."""
+    """Write records under ``pipeline=<name>/run=<date>/``; a later record of the same run replaces the earlier one.
+
+    All ten fields stay in the document itself.
+    """
     placed = alerts.select(*struct(ALERT).names, F.col("pipelineName").alias("pipeline"), F.col("runDate").alias("run"))
-    placed.write.mode("append").partitionBy("pipeline", "run").option("ignoreNullFields", "false").json(path)
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("pipeline", "run").option("ignoreNullFields", "false").json(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -135,6 +135,8 @@ def test_rerun_changes_nothing_and_empty_day_adds_nothing(done, con):
     run_day(done, EMPTY_DAY, from_landing=True)
     for name, value in wanted.items():
         assert table_digest(done, name) == value, name
+    alerts = [r["runDate"] for r in read_alerts(done.spark, f"{done.base}/logs/alerts").collect()]
+    assert sorted(alerts) == [*DAYS, EMPTY_DAY]
     empty = done.read(LOG_TABLE).where(F.col("runDate") == EMPTY_DAY)
     assert {(r["status"], r["rows_read"]) for r in empty.collect()} == {("SUCCESS", 0)}
 
