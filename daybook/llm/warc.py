@@ -99,7 +99,7 @@ def write(rows: DataFrame, folder: str) -> DataFrame:
         name, n, stream, writer = f"part-{uuid.uuid4().hex}.warc.gz", 0, None, None
         for batch in batches:
             if stream is None and batch.num_rows:
-                stream = files.open_output_stream(f"{at}/{name}")
+                stream = files.open_output_stream(f"{at}/{name}", compression=None)
                 writer = Writer(stream)
             ids, uris, payloads, refers, digests = (batch.column(c) for c in ("id", "uri", "payload", "refers_to", "digest"))
             for i in range(batch.num_rows):
