@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, jaccard_join, mixing, quality_rules, substring_dedup, warc
+from daybook.llm import bpe, collision_ann, html_extract, jaccard_join, mixing, quality_rules, substring_dedup, warc
 from daybook.llm.common import table
 
 
@@ -80,6 +80,16 @@ ORACLE: dict[str, str] = {
 }
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = collision_ann.nearest(vectors, F.coalesce(F.col("id") % 20 == 0, F.lit(False)), k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The pipeline imports operators of this subpackage and is registered among its queries.
     import corpus_pipeline
@@ -87,4 +97,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+QUERIES["op9_html_extraction"] = op9_html_extraction
+QUERIES["op10_collision_ann"] = op10_collision_ann
 QUERIES["pipeline"] = pipeline
