@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, collision_ann, html_extract, jaccard_join, mixing, quality_rules, substring_dedup, warc
+from daybook.llm import bpe, collision_ann, html_extract, jaccard_join, katz, mixing, quality_rules, substring_dedup, suffix_dedup, warc
 from daybook.llm.common import table
 
 
@@ -53,6 +53,24 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(docs, "text", public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    scores, total, _, _ = katz.scored(docs, F.crc32(F.col("id").cast("string")) % 7 == 2)
+    return scores.select(
+        F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "n_tokens", "n_known",
+        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["size"]), F.lit(0).cast("long"))
+    return suffix_dedup.without_repeats(docs, length=50).select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256",
+    )
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     found = jaccard_join.classes(docs, shingle=3, num=90, den=100)
@@ -97,6 +115,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+QUERIES["op6_katz"] = op6_katz
+QUERIES["op7_suffix_dedup"] = op7_suffix_dedup
 QUERIES["op9_html_extraction"] = op9_html_extraction
 QUERIES["op10_collision_ann"] = op10_collision_ann
 QUERIES["pipeline"] = pipeline
