@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.session import write_scratch
+from daybook.session import new_scratch_path
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -16,7 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written once to the shared folder and read from there."""
-    return write_scratch(df, label)[0]
+    path = new_scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body) -> Column:
