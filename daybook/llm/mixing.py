@@ -54,7 +54,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies:
     return final.select(
         "source",
         "source_size",
-        F.coalesce(F.col("log_size") / 1000.0 / F.col("source_size"), F.lit(1.0)).cast("double").alias("longer"),
+        F.coalesce(F.try_divide(F.col("log_size").cast("double") / 1000.0, F.col("source_size").cast("double")), F.lit(1.0)).cast("double").alias("longer"),
         F.least(cap.cast("double"), F.coalesce(F.col("final") * F.col("weight"), cap.cast("double"))).alias("target"),
     )
 
@@ -78,7 +78,7 @@ def copies(sizes: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3)
     sizes = staged(sizes, "op4-sizes")
     found = staged(targets(sizes, weights, max_copies), "op4-targets")
     rows = sizes.join(found, sizes["source"].eqNullSafe(found["source"])).drop(found["source"])
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
+    ratio = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(1.0))
     whole = F.floor(ratio + 1e-9)
     part = F.greatest(ratio - whole, F.lit(0.0))
     u = (F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
