@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.session import new_scratch_path
+from daybook.session import new_scratch_path, remove_path
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -14,13 +16,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, written once to the shared folder and read from there."""
+_passing: list[list[str]] = []
+
+
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """The same rows, written once to the shared folder and read from there; see ``passing`` for ``keep``."""
     path = new_scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
+    if _passing and not keep:
+        _passing[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession):
+    """What is staged inside goes at the end, but for rows staged with ``keep``, which must not read any of it."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            remove_path(spark, path)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body mentions it."""
     return F.transform(F.array(value), body)[0]

@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import staged
+from daybook.llm.common import passing, staged
 from daybook.llm.graph import components
+from daybook.llm.screen import bit_table, passes
 from daybook.llm.textvec import distinct, mix, slices, text_bytes, windows, words
 
 BAND_RATIO = 1.4
@@ -99,17 +100,29 @@ def summaries(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, digest binary, sketch array<long>")
 
 
-def signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None, only_two: bool = False) -> DataFrame:
+SIGNATURES = "part long, signature long, id long, tag long"
+
+
+def signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None, screen=None, thin: bool = False) -> DataFrame:
     """(part, signature, id, tag) per segment. ``part`` is the band and segment, ``tag`` 64 bits of the set's digest.
 
-    ``units``: parts with -1 (skipped) or 1 (with one-deletion neighbours); all others count 0 (equality).
+    ``units``: parts with -1 (skipped) or 1 (with one-deletion neighbours); all others count 0 (equality). ``screen``: a
+    broadcast bit table that signatures must pass. ``thin``: only (key, tag), the low 32 bits of both, for such a table.
     """
 
+    def rows(parts, sigs, ids, tags) -> pa.RecordBatch:
+        part, sig = np.concatenate(parts), np.concatenate(sigs)
+        id_, tag = (np.repeat(np.array(x, np.int64), [len(p) for p in parts]) for x in (ids, tags))
+        if thin:
+            columns = [pa.array(sig.astype(np.uint32).view(np.int32)), pa.array(tag.astype(np.int32))]
+            return pa.RecordBatch.from_arrays(columns, ["key", "tag"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (part, sig.view(np.int64), id_, tag)], ["part", "signature", "id", "tag"])
+
     def run(batches):
         bands = Bands(num, den)
         of_size: dict[int, list[int]] = {}
         for batch in batches:
-            parts, sigs, ids, tags = [], [], [], []
+            parts, sigs, ids, tags, held = [], [], [], [], 0
             for key, h in _sets(batch, shingle):
                 if key is None or not len(h):
                     continue
@@ -127,25 +140,35 @@ def signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[in
                         unit = np.array([units.get(p, 0) for p in part.tolist()])
                         two = unit[segment] == 1
                         less, of = total[segment[two]] - h[two], part[segment[two]]
-                        stay = unit == 1 if only_two else unit != -1
-                        total, part = np.concatenate([total[stay], less]), np.concatenate([part[stay], of])
-                    if len(part):
-                        parts.append(part)
-                        sigs.append(mix(total + mix(part.astype(np.uint64))))
-                        ids.append(np.full(len(part), key, np.int64))
-                        tags.append(np.full(len(part), tag, np.int64))
-                if sum(map(len, parts[-2:])) and len(parts) >= 4000:
-                    yield _rows(parts, sigs, ids, tags)
-                    parts, sigs, ids, tags = [], [], [], []
+                        total, part = np.concatenate([total[unit != -1], less]), np.concatenate([part[unit != -1], of])
+                    sig = mix(total + mix(part.astype(np.uint64)))
+                    if screen is not None:
+                        hit = passes(screen.value, sig)
+                        part, sig = part[hit], sig[hit]
+                    parts.append(part)
+                    sigs.append(sig)
+                    ids.append(key)
+                    tags.append(tag)
+                    held += len(part)
+                if held >= 200_000:
+                    yield rows(parts, sigs, ids, tags)
+                    parts, sigs, ids, tags, held = [], [], [], [], 0
             if parts:
-                yield _rows(parts, sigs, ids, tags)
+                yield rows(parts, sigs, ids, tags)
 
-    return docs.mapInArrow(run, "part long, signature long, id long, tag long")
+    return docs.mapInArrow(run, "key int, tag int" if thin else SIGNATURES)
 
 
-def _rows(parts, sigs, ids, tags) -> pa.RecordBatch:
-    columns = [np.concatenate(parts), np.concatenate(sigs).view(np.int64), np.concatenate(ids), np.concatenate(tags)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "signature", "id", "tag"])
+def shared_signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None) -> DataFrame:
+    """The rows of ``signatures`` that different sets may share, written once.
+
+    Which signatures two sets share is first asked of their low bits, so that the many that nobody shares are left out
+    where they arise, by a bit table; a false hit of that table costs a row, never a result.
+    """
+    thin = signatures(docs, shingle, num, den, units, thin=True)
+    keys = thin.groupBy("key").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).filter("x <> y").select("key")
+    screen = docs.sparkSession.sparkContext.broadcast(bit_table(keys))
+    return staged(signatures(docs, shingle, num, den, units, screen), "op8-signatures")
 
 
 def members(docs: DataFrame, shingle: int) -> DataFrame:
@@ -233,11 +256,29 @@ def _linked(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             edges = links
         else:
             edges = links.unionByName(found.select(F.col("rep").alias("a"), F.col("component").alias("b")))
-        found = staged(components(edges).withColumnRenamed("node", "rep"), "op8-components")
+        found = staged(components(edges).withColumnRenamed("node", "rep"), "op8-components", keep=True)
         buckets = live.drop("c")
     return found
 
 
+def _components_of(docs: DataFrame, rep_of: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
+    """(rep, component) of the representatives that link with another."""
+    index = shared_signatures(docs, shingle, num, den)
+    met = index.groupBy("part", "signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y"), F.count(F.lit(1)).alias("rows")).filter("x <> y")
+    costs = met.groupBy("part").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * (F.col("rows") - 1) / 2).cast("long").alias("pairs"))
+    units = allocate(costs, num, den)
+    if units:
+        index = shared_signatures(docs, shingle, num, den, units)
+    shared = index.groupBy("signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).filter("x <> y").select("signature")
+    buckets = staged(
+        index.select("signature", "id").join(shared, "signature", "left_semi").join(rep_of, "id").select("signature", "rep", "n", "sketch").distinct(),
+        "op8-buckets",
+    )
+    wanted = buckets.select(F.col("rep").alias("id")).distinct()
+    sets = staged(members(docs.join(wanted, "id", "left_semi"), shingle).withColumnRenamed("id", "rep"), "op8-members")
+    return _linked(buckets, sets, num, den)
+
+
 def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(id, n, component) per row of ``docs`` (id, text): documents linked at a similarity of num/den or more."""
     docs = docs.select(F.col("id").cast("long").alias("id"), "text")
@@ -247,28 +288,8 @@ def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) ->
     reps = with_set.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     rep_of = staged(with_set.select("id", "digest").join(reps, "digest").drop("digest"), "op8-reps")
 
-    index = signatures(docs, shingle, num, den)
-    seen = staged(
-        index.groupBy("part", "signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y"), F.count(F.lit(1)).alias("rows"))
-        .groupBy("part", F.when(F.col("x") != F.col("y"), F.col("signature")).alias("signature"))
-        .agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * (F.col("rows") - 1) / 2).cast("long").alias("pairs")),
-        "op8-index",
-    )
-    shared = seen.filter("signature is not null").select("signature")
-    costs = seen.groupBy("part").agg(F.sum("rows").alias("rows"), F.sum(F.when(F.col("signature").isNotNull(), F.col("pairs")).otherwise(0)).alias("pairs"))
-    units = allocate(costs, num, den)
-    if units:
-        index = signatures(docs, shingle, num, den, units)
-        again = signatures(docs, shingle, num, den, units, only_two=True)
-        again = again.groupBy("signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).filter("x <> y").select("signature")
-        shared = shared.unionByName(again).distinct()
-    buckets = staged(
-        index.select("signature", "id").join(shared, "signature", "left_semi").join(rep_of, "id").select("signature", "rep", "n", "sketch").distinct(),
-        "op8-buckets",
-    )
-    wanted = buckets.select(F.col("rep").alias("id")).distinct()
-    sets = staged(members(docs.join(wanted, "id", "left_semi"), shingle).dropDuplicates(["id"]).withColumnRenamed("id", "rep"), "op8-members")
-    found = _linked(buckets, sets, num, den)
+    with passing(docs.sparkSession):
+        found = _components_of(docs, rep_of, shingle, num, den)
     if found is not None:
         rep_of = rep_of.join(found, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
     else:

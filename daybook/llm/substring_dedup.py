@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import free_name, staged
+from daybook.llm.common import free_name, passing, staged
 from daybook.llm.textvec import mix, powers, slices, text_bytes
 
 _rng = np.random.Generator(np.random.PCG64(77))
@@ -123,7 +123,8 @@ def cut_out(rows: DataFrame, text: str, spans: str) -> DataFrame:
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = 100) -> tuple[DataFrame, str]:
     """The rows of ``docs`` with repeated passages cut out of ``text``, and the name of a column with the cut spans."""
     name, own = free_name(docs, "spans"), free_name(docs, "span_id")
-    found = spans(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), min_bytes)
-    found = staged(found.select(F.col("id").alias(own), F.col("spans").alias(name)), "op1-spans")
+    with passing(docs.sparkSession):
+        found = spans(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), min_bytes)
+        found = staged(found.select(F.col("id").alias(own), F.col("spans").alias(name)), "op1-spans", keep=True)
     joined = docs.join(found, F.col(key) == F.col(own), "left").drop(own)
     return cut_out(joined, text, name), name
