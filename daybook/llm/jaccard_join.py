@@ -224,7 +224,7 @@ def _may_be_similar(a: str, b: str, num: int, den: int) -> Column:
     )
 
 
-def _linked(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _linked(buckets: DataFrame, docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
     """(rep, component) over the sets of ``buckets`` (signature, rep, n, sketch)."""
     weights = buckets.groupBy("signature").count().join(buckets, "signature").groupBy("rep").agg(F.sum("count").alias("weight"))
     found = None  # rep, component of those in a link
@@ -245,7 +245,10 @@ def _linked(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             ).select("signature", "lead.*")
         differ = F.col("a.c") != F.col("b.c") if turn < 2 else F.col("a.c") < F.col("b.c")
         met = a.alias("a").join(live.alias("b"), (F.col("a.signature") == F.col("b.signature")) & differ & _may_be_similar("a", "b", num, den))
-        pairs = met.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct()
+        pairs = staged(met.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct(), "op8-pairs")
+        # Sets are read again for the few documents that sizes and sketches leave in pairs.
+        wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "op8-wanted")
+        sets = staged(members(docs.join(wanted, "id", "left_semi"), shingle).withColumnRenamed("id", "rep"), "op8-members")
         s = lambda side: sets.select(F.col("rep").alias(side), F.col("members").alias(f"m{side}"))
         links = (
             pairs.join(s("a"), "a").join(s("b"), "b")
@@ -274,9 +277,7 @@ def _components_of(docs: DataFrame, rep_of: DataFrame, shingle: int, num: int, d
         index.select("signature", "id").join(shared, "signature", "left_semi").join(rep_of, "id").select("signature", "rep", "n", "sketch").distinct(),
         "op8-buckets",
     )
-    wanted = buckets.select(F.col("rep").alias("id")).distinct()
-    sets = staged(members(docs.join(wanted, "id", "left_semi"), shingle).withColumnRenamed("id", "rep"), "op8-members")
-    return _linked(buckets, sets, num, den)
+    return _linked(buckets, docs, shingle, num, den)
 
 
 def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
