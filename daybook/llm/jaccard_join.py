@@ -301,5 +301,6 @@ def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) ->
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` but those linked with a row of a smaller id; rows without an id stay."""
     of = classes(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), shingle, num, den)
-    gone = of.filter("component < id").select(F.col("id").alias("_gone")).distinct()
+    # Written, so that its size is known: few ids are broadcast, and texts stay where they are.
+    gone = staged(of.filter("component < id").select(F.col("id").alias("_gone")).distinct(), "op8-gone", keep=True)
     return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
