@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from daybook.catalogue.oracle import ORACLE
+from daybook.catalogue.queries import QUERIES
 from daybook.operators.aggregates import written_premium_daily
 from daybook.operators.history import changed_versions
 from daybook.operators.rules import SILVER_RULES
@@ -37,7 +39,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    # Corpus operators may be beyond SQL; those have tests of their own in tests/llm.
+    daily = {name for name in entry_points.queries() if name.startswith("q")}
+    assert daily == set(QUERIES) == set(ORACLE)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
