@@ -51,7 +51,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert spark_digest(entry_points.queries()[name](spark, SF)) == duck_digest(con, entry_points.oracle_sql()[name])
 
@@ -65,7 +65,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if not re.match(r"q(23|25|28|29|34|35)", n)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not re.match(r"q(23|25|28|29|34|35)", n)])
 def test_plans_stay_distributed_and_in_the_jvm(spark, name):
     text = plan(entry_points.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
