@@ -9,7 +9,7 @@ its unit instead by also indexing all its one-deletion neighbours (agreement up
 choice is made once per band from counts over all documents, so both sides of any pair follow it.
 
 Candidates meet in signature buckets. Equal sets are merged before (one representative each). In a bucket, sets are
-compared with a leader first; only sets that are still in different components afterwards are compared with each other,
+compared with leaders first, each with one leader a turn; only sets that are still in different components afterwards are compared with each other,
 so a group of copies is linked by about one comparison per member, while no link that would join two components is
 left out. Every comparison is exact on the full shingle sets (64-bit shingle hashes).
 
@@ -35,6 +35,7 @@ from daybook.llm.textvec import distinct, mix, slices, text_bytes, windows, word
 
 BAND_RATIO = 1.4
 SKETCH_WORDS = 4
+LEADER_TURNS = 3
 
 
 class Bands:
@@ -224,28 +225,43 @@ def _may_be_similar(a: str, b: str, num: int, den: int) -> Column:
     )
 
 
-def _linked(buckets: DataFrame, docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
-    """(rep, component) over the sets of ``buckets`` (signature, rep, n, sketch)."""
-    weights = buckets.groupBy("signature").count().join(buckets, "signature").groupBy("rep").agg(F.sum("count").alias("weight"))
+def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
+    """(rep, component) over the sets of ``buckets`` (signature, rep); ``info`` has (rep, n, sketch).
+
+    Sizes and sketches are looked up for pairs, of which there are few, not carried along with every signature.
+    """
+    counts = buckets.groupBy("signature").count()
+    weights = staged(buckets.join(counts, "signature").groupBy("rep").agg(F.sum("count").alias("weight")), "op8-weights")
     found = None  # rep, component of those in a link
-    for turn in range(3):
-        of = (lambda df: df.withColumn("c", F.col("rep"))) if found is None else (
-            lambda df, f=found: df.join(f, "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
-        )
-        live = staged(of(buckets), "op8-live")
-        open_keys = live.groupBy("signature").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("signature")
-        live = staged(live.join(open_keys, "signature"), "op8-open")
+    live = buckets.withColumn("c", F.col("rep"))
+    for turn in range(LEADER_TURNS + 1):
+        if found is not None:
+            at = live.select("signature", "rep").join(found, "rep", "left")
+            at = staged(at.select("signature", "rep", F.coalesce("component", "rep").alias("c")), "op8-live")
+            open_keys = at.groupBy("signature").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("signature")
+            live = staged(at.join(open_keys, "signature"), "op8-open")
         if live.isEmpty():
             break
-        a = live
-        if turn < 2:
+        if turn < LEADER_TURNS:
             order = F.col("weight") if turn == 0 else F.xxhash64("rep", F.lit(turn))
             a = (live.join(weights, "rep") if turn == 0 else live).groupBy("signature").agg(
-                F.max_by(F.struct("rep", "n", "sketch", "c"), F.struct(order, "rep")).alias("lead")
+                F.max_by(F.struct("rep", "c"), F.struct(order, "rep")).alias("lead")
             ).select("signature", "lead.*")
-        differ = F.col("a.c") != F.col("b.c") if turn < 2 else F.col("a.c") < F.col("b.c")
-        met = a.alias("a").join(live.alias("b"), (F.col("a.signature") == F.col("b.signature")) & differ & _may_be_similar("a", "b", num, den))
-        pairs = staged(met.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct(), "op8-pairs")
+            b, keep = live, F.col("a.c") != F.col("b.c")
+        else:
+            # All against all in what is left: conditions on sizes and sketches are part of the join.
+            a = b = live.join(info, "rep")
+            keep = (F.col("a.c") < F.col("b.c")) & _may_be_similar("a", "b", num, den)
+        met = a.alias("a").join(b.alias("b"), (F.col("a.signature") == F.col("b.signature")) & keep)
+        pairs = met.select(F.col("a.rep").alias("s"), F.col("b.rep").alias("t")).groupBy("s", "t").count()
+        if turn < LEADER_TURNS:
+            # A set is verified with one leader a turn, the one it shares most signatures with; others come in later turns.
+            pairs = (
+                pairs.join(info.alias("a"), F.col("s") == F.col("a.rep")).join(info.alias("b"), F.col("t") == F.col("b.rep"))
+                .filter(_may_be_similar("a", "b", num, den))
+                .groupBy("t").agg(F.max_by("s", F.struct("count", "s")).alias("s"))
+            )
+        pairs = staged(pairs.select(F.col("s").alias("a"), F.col("t").alias("b")), "op8-pairs")
         # Sets are read again for the few documents that sizes and sketches leave in pairs.
         wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "op8-wanted")
         sets = staged(members(docs.join(wanted, "id", "left_semi"), shingle).withColumnRenamed("id", "rep"), "op8-members")
@@ -260,24 +276,27 @@ def _linked(buckets: DataFrame, docs: DataFrame, shingle: int, num: int, den: in
         else:
             edges = links.unionByName(found.select(F.col("rep").alias("a"), F.col("component").alias("b")))
         found = staged(components(edges).withColumnRenamed("node", "rep"), "op8-components", keep=True)
-        buckets = live.drop("c")
     return found
 
 
-def _components_of(docs: DataFrame, rep_of: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
+def _met(index: DataFrame) -> DataFrame:
+    """(part, signature, rows) of the signatures that different sets share."""
+    ends = index.groupBy("part", "signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y"), F.count(F.lit(1)).alias("rows"))
+    return staged(ends.filter("x <> y").select("part", "signature", "rows"), "op8-met")
+
+
+def _components_of(docs: DataFrame, rep_of: DataFrame, info: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
     """(rep, component) of the representatives that link with another."""
     index = shared_signatures(docs, shingle, num, den)
-    met = index.groupBy("part", "signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y"), F.count(F.lit(1)).alias("rows")).filter("x <> y")
+    met = _met(index)
     costs = met.groupBy("part").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * (F.col("rows") - 1) / 2).cast("long").alias("pairs"))
     units = allocate(costs, num, den)
     if units:
         index = shared_signatures(docs, shingle, num, den, units)
-    shared = index.groupBy("signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).filter("x <> y").select("signature")
-    buckets = staged(
-        index.select("signature", "id").join(shared, "signature", "left_semi").join(rep_of, "id").select("signature", "rep", "n", "sketch").distinct(),
-        "op8-buckets",
-    )
-    return _linked(buckets, docs, shingle, num, den)
+        met = _met(index)
+    kept = index.select("signature", "id").join(met.select("signature"), "signature", "left_semi")
+    buckets = staged(kept.join(rep_of, "id").select("signature", "rep").distinct(), "op8-buckets")
+    return _linked(buckets, info, docs, shingle, num, den)
 
 
 def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -287,10 +306,11 @@ def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) ->
     with_set = known.filter("id is not null and n > 0")
     # Equal sets are one: the smallest id stands for all.
     reps = with_set.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    rep_of = staged(with_set.select("id", "digest").join(reps, "digest").drop("digest"), "op8-reps")
+    reps = staged(reps, "op8-info")
+    rep_of = staged(with_set.select("id", "digest").join(reps.select("digest", "rep"), "digest").select("id", "rep").distinct(), "op8-reps")
 
     with passing(docs.sparkSession):
-        found = _components_of(docs, rep_of, shingle, num, den)
+        found = _components_of(docs, rep_of, reps.select("rep", "n", "sketch"), shingle, num, den)
     if found is not None:
         rep_of = rep_of.join(found, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
     else:
