@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from daybook.operators.runs import run_plan
+from daybook.operators.runs import completed_runs, run_plan
 from daybook.plans.bronze import load_bronze
 from daybook.plans.counts import Counts
 from daybook.plans.gold import AGGREGATES, export_gold, load_gold
@@ -39,16 +39,19 @@ def run_day(
     from_landing: bool = False,
     bronze_mode: str = "replace",
     environment: str = "dev",
+    keep_newer: bool = False,
+    allow_backdated: bool = False,
 ) -> None:
     """Raw to bronze, silver, history and gold for one run date, in order; safe to repeat.
 
     Every step logs its counts; the first failure stops the rest. The alert record is written on success and on failure.
+    ``keep_newer`` is for a date older than one already run: clean rows that a later run wrote stay as they are.
     """
     run_date = checked_run_date(run_date)
     export = is_true(export_csv)
 
-    def step(layer: str, entity: str, work: Callable[..., Counts], *args) -> None:
-        logged(lake, layer, entity, run_date, lambda: work(lake, *args))
+    def step(layer: str, entity: str, work: Callable[..., Counts], *args, **options) -> None:
+        logged(lake, layer, entity, run_date, lambda: work(lake, *args, **options))
 
     try:
         if from_landing:
@@ -57,8 +60,8 @@ def run_day(
         for name, entity in ENTITIES.items():
             step("bronze", name, load_bronze, entity, run_date, bronze_mode)
         for name, entity in ENTITIES.items():
-            step("silver", name, load_silver, entity, run_date)
-        step("history", "policyholders", load_history, run_date)
+            step("silver", name, load_silver, entity, run_date, keep_newer=keep_newer)
+        step("history", "policyholders", load_history, run_date, allow_backdated=allow_backdated)
         for aggregate in AGGREGATES:
             step("gold", aggregate.export_name, load_gold, aggregate, run_date)
         if export:
@@ -76,9 +79,21 @@ def pending_runs(lake: Lake, last: str, today: str | None = None) -> list[str]:
     return [r["runDate"] for r in run_plan(lake.read(LOG_TABLE), start, end, "gold", steps).collect()]
 
 
+def latest_completed(lake: Lake) -> str | None:
+    """The newest completed run date, if any."""
+    steps = [a.export_name for a in AGGREGATES]
+    return completed_runs(lake.read(LOG_TABLE), "gold", steps).agg(F.max("runDate").alias("last")).first()["last"]
+
+
 def run_range(lake: Lake, last: str, today: str | None = None, export_csv: str | bool = False, **options) -> list[str]:
-    """Catch up: every pending run date, oldest first. The run log is the mark, so a crash resumes where it stopped."""
+    """Catch up: every pending run date, oldest first. The run log is the mark, so a crash resumes where it stopped.
+
+    A date older than a completed one comes late: it fills in what is missing and leaves rows of later runs alone, unless
+    ``keep_newer`` is given.
+    """
     todo = pending_runs(lake, last, today)
+    newest = latest_completed(lake) if todo else None
     for run_date in todo:
-        run_day(lake, run_date, export_csv, **options)
+        late = newest is not None and run_date < newest
+        run_day(lake, run_date, export_csv, **{"keep_newer": late} | options)
     return todo

@@ -19,7 +19,7 @@ from daybook.sources.tables import Lake
 
 
 def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_newer: bool = False) -> int:
-    """Upsert ``batch`` (rows of one run, one per key) and return its number of rows.
+    """Upsert ``batch`` (rows of one run, one per key) and return how many of its rows were applied.
 
     Rows of the same key in other runs are replaced. If the job dies between its commits, running the same day again
     brings the table to the same state.
@@ -30,6 +30,7 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
         seen = rows.agg(F.count(F.lit(1)).alias("n"), *bounds).first()
         if not seen["n"]:
             return 0
+        applied = seen["n"]
 
         # Equal keys lie between the batch's smallest and largest: the scan skips files and row groups outside.
         target = lake.read(table)
@@ -41,6 +42,7 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
             if keep_newer:
                 newer = in_range.where(F.col(RUN) > run_date).select(*key)
                 rows = rows.join(newer, key, "left_anti")
+                applied = rows.count()
             replaced = _replaced_per_run(in_range.where(F.col(RUN) != run_date), rows, key)
         sizes = _rows_per_run(target, replaced)
         emptied = sorted(run for run, n in replaced.items() if n == sizes[run])
@@ -57,7 +59,7 @@ def merge_run(lake: Lake, table: str, batch: DataFrame, run_date: str, *, keep_n
             lake.overwrite_partitions(table, kept.unionByName(rows))
         for run in emptied:
             lake.clear_partition(table, run)
-        return seen["n"]
+        return applied
 
 
 def _replaced_per_run(others: DataFrame, rows: DataFrame, key: list[str]) -> dict[str, int]:

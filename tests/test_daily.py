@@ -161,6 +161,25 @@ def test_catch_up_and_failure(spark, done):
     assert os.path.isdir(f"{done.base}/logs/alerts/pipeline=daily_batch/run=2026-02-05")
 
 
+def test_a_late_date_completes_and_leaves_newer_rows_alone(spark, tmp_path):
+    base = str(tmp_path / "late")
+    landing(spark, base, "raw")
+    lake = Lake(spark, base, "late").create()
+    run_day(lake, DAYS[1])
+    keys = {e.silver: (e.key, lake.read_run(e.silver, DAYS[1]).select(*e.key).collect()) for e in ENTITIES.values()}
+    assert run_range(lake, "2026-01-31", DAYS[1]) == [DAYS[0]]
+    assert pending_runs(lake, "2026-01-31", DAYS[1]) == []
+    for table, (key, before) in keys.items():
+        assert sorted(lake.read_run(table, DAYS[1]).select(*key).collect()) == sorted(before)
+        late = lake.read_run(table, DAYS[0]).count()
+        log = lake.read(LOG_TABLE).where((F.col("layer") == "silver") & (F.col("runDate") == DAYS[0]))
+        assert late in [r["rows_valid"] for r in log.collect()]
+    current = lake.read(HISTORY_TABLE).where("is_current")
+    assert current.count() == lake.read(ENTITIES["policyholders"].silver).count()
+    for aggregate in AGGREGATES:
+        assert lake.read_run(aggregate.table, DAYS[1]).count() > 0
+
+
 def test_append_mode_adds_rows_again(done):
     entity = ENTITIES["payments"]
     before = done.read_run(entity.bronze, DAYS[0]).count(), done.read_run(entity.bronze_rejects, DAYS[0]).count()
