@@ -8,10 +8,10 @@ evidence are shared out: a segment whose signatures collide too often is skipped
 its unit instead by also indexing all its one-deletion neighbours (agreement up to one shingle counts two units). That
 choice is made once per band from counts over all documents, so both sides of any pair follow it.
 
-Candidates meet in signature buckets. Equal sets are merged before (one representative each). In a bucket, sets are
-compared with leaders first, each with one leader a turn; only sets that are still in different components afterwards are compared with each other,
-so a group of copies is linked by about one comparison per member, while no link that would join two components is
-left out. Every comparison is exact on the full shingle sets (64-bit shingle hashes).
+Candidates meet in signature buckets. Equal sets are merged before (one representative each), and so are signatures that
+bring the same documents together. In a bucket, sets are compared with leaders first, each with one leader a turn; only
+sets that are still in different components afterwards are compared with each other, so a group of copies is linked by
+about one comparison per member, while no link that would join two components is left out. Every comparison is exact on the full shingle sets (64-bit shingle hashes).
 
 Null or empty text: no set, linked with nothing, component is the own id. Rows with a null id get a null component and
 link nothing. Repeated ids count as one document each time they occur: same component. Other columns are not read.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import passing, staged
 from daybook.llm.graph import components
-from daybook.llm.screen import bit_table, passes
+from daybook.llm.screen import BITS, bit_table, packed, passes, repeated_bits
 from daybook.llm.textvec import distinct, mix, slices, text_bytes, windows, words
 
 BAND_RATIO = 1.4
@@ -68,8 +68,15 @@ class Bands:
         return out
 
 
-def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(id, ascending distinct shingle hashes) of each row."""
+def _place(key: str) -> Column:
+    """Where an id falls in a bit table."""
+    return F.xxhash64(key).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("key")
+
+
+def _sets(batch: pa.RecordBatch, n: int, wanted=None) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(id, ascending distinct shingle hashes) of each row; of those that pass ``wanted``, a broadcast bit table of ids."""
+    if wanted is not None:
+        batch = batch.filter(pa.array(passes(wanted.value, batch.column(2).to_numpy().astype(np.uint64))))
     for part in slices(batch, batch.schema.names[1]):
         hashes, at = windows(*words(*text_bytes(part.column(1))), n)
         for i, key in enumerate(part.column(0).to_pylist()):
@@ -104,27 +111,30 @@ def summaries(docs: DataFrame, shingle: int) -> DataFrame:
 SIGNATURES = "part long, signature long, id long, tag long"
 
 
-def signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None, screen=None, thin: bool = False) -> DataFrame:
+def signatures(
+    docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None, screen=None, thin: bool = False, wanted=None
+) -> DataFrame:
     """(part, signature, id, tag) per segment. ``part`` is the band and segment, ``tag`` 64 bits of the set's digest.
 
     ``units``: parts with -1 (skipped) or 1 (with one-deletion neighbours); all others count 0 (equality). ``screen``: a
-    broadcast bit table that signatures must pass. ``thin``: only (key, tag), the low 32 bits of both, for such a table.
+    broadcast bit table that signatures must pass. ``thin``: only their low 32 bits, packed for such a table. ``wanted``:
+    a broadcast bit table of the ids (places in column key) that take part.
     """
+    full = 2_000_000 if thin else 200_000
 
     def rows(parts, sigs, ids, tags) -> pa.RecordBatch:
         part, sig = np.concatenate(parts), np.concatenate(sigs)
-        id_, tag = (np.repeat(np.array(x, np.int64), [len(p) for p in parts]) for x in (ids, tags))
         if thin:
-            columns = [pa.array(sig.astype(np.uint32).view(np.int32)), pa.array(tag.astype(np.int32))]
-            return pa.RecordBatch.from_arrays(columns, ["key", "tag"])
+            return packed(sig)
+        id_, tag = (np.repeat(np.array(x, np.int64), [len(p) for p in parts]) for x in (ids, tags))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (part, sig.view(np.int64), id_, tag)], ["part", "signature", "id", "tag"])
 
     def run(batches):
         bands = Bands(num, den)
         of_size: dict[int, list[int]] = {}
+        parts, sigs, ids, tags, held = [], [], [], [], 0
         for batch in batches:
-            parts, sigs, ids, tags, held = [], [], [], [], 0
-            for key, h in _sets(batch, shingle):
+            for key, h in _sets(batch, shingle, wanted):
                 if key is None or not len(h):
                     continue
                 tag = int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=16).digest()[:8], "little", signed=True)
@@ -151,33 +161,32 @@ def signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[in
                     ids.append(key)
                     tags.append(tag)
                     held += len(part)
-                if held >= 200_000:
+                if held >= full:
                     yield rows(parts, sigs, ids, tags)
                     parts, sigs, ids, tags, held = [], [], [], [], 0
-            if parts:
-                yield rows(parts, sigs, ids, tags)
+        if parts:
+            yield rows(parts, sigs, ids, tags)
 
-    return docs.mapInArrow(run, "key int, tag int" if thin else SIGNATURES)
+    return docs.mapInArrow(run, "part int, body binary" if thin else SIGNATURES)
 
 
-def shared_signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None) -> DataFrame:
+def shared_signatures(docs: DataFrame, shingle: int, num: int, den: int, units: dict[int, int] | None = None, wanted=None) -> DataFrame:
     """The rows of ``signatures`` that different sets may share, written once.
 
-    Which signatures two sets share is first asked of their low bits, so that the many that nobody shares are left out
+    Which signatures occur twice is first asked of their low bits, so that the many that nobody shares are left out
     where they arise, by a bit table; a false hit of that table costs a row, never a result.
     """
-    thin = signatures(docs, shingle, num, den, units, thin=True)
-    keys = thin.groupBy("key").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).filter("x <> y").select("key")
-    screen = docs.sparkSession.sparkContext.broadcast(bit_table(keys))
-    return staged(signatures(docs, shingle, num, den, units, screen), "op8-signatures")
+    thin = signatures(docs, shingle, num, den, units, thin=True, wanted=wanted)
+    screen = docs.sparkSession.sparkContext.broadcast(repeated_bits(thin))
+    return staged(signatures(docs, shingle, num, den, units, screen, wanted=wanted), "op8-signatures")
 
 
-def members(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, members): the sets themselves."""
+def members(docs: DataFrame, shingle: int, wanted=None) -> DataFrame:
+    """(id, members): the sets themselves; of documents that pass ``wanted``, a broadcast bit table of ids."""
 
     def run(batches):
         for batch in batches:
-            rows = list(_sets(batch, shingle))
+            rows = list(_sets(batch, shingle, wanted))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.int64()), pa.array([h.view(np.int64) for _, h in rows], pa.list_(pa.int64()))],
                 ["id", "members"],
@@ -226,18 +235,18 @@ def _may_be_similar(a: str, b: str, num: int, den: int) -> Column:
 
 
 def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
-    """(rep, component) over the sets of ``buckets`` (signature, rep); ``info`` has (rep, n, sketch).
+    """(rep, component) over the sets of ``buckets`` (signature, times, rep); ``info`` has (rep, n, sketch).
 
     Sizes and sketches are looked up for pairs, of which there are few, not carried along with every signature.
     """
     counts = buckets.groupBy("signature").count()
-    weights = staged(buckets.join(counts, "signature").groupBy("rep").agg(F.sum("count").alias("weight")), "op8-weights")
+    weights = staged(buckets.join(counts, "signature").groupBy("rep").agg(F.sum(F.col("count") * F.col("times")).alias("weight")), "op8-weights")
     found = None  # rep, component of those in a link
     live = buckets.withColumn("c", F.col("rep"))
     for turn in range(LEADER_TURNS + 1):
         if found is not None:
-            at = live.select("signature", "rep").join(found, "rep", "left")
-            at = staged(at.select("signature", "rep", F.coalesce("component", "rep").alias("c")), "op8-live")
+            at = live.select("signature", "times", "rep").join(found, "rep", "left")
+            at = staged(at.select("signature", "times", "rep", F.coalesce("component", "rep").alias("c")), "op8-live")
             open_keys = at.groupBy("signature").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("signature")
             live = staged(at.join(open_keys, "signature"), "op8-open")
         if live.isEmpty():
@@ -253,7 +262,8 @@ def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int,
             a = b = live.join(info, "rep")
             keep = (F.col("a.c") < F.col("b.c")) & _may_be_similar("a", "b", num, den)
         met = a.alias("a").join(b.alias("b"), (F.col("a.signature") == F.col("b.signature")) & keep)
-        pairs = met.select(F.col("a.rep").alias("s"), F.col("b.rep").alias("t")).groupBy("s", "t").count()
+        pairs = met.select(F.col("a.rep").alias("s"), F.col("b.rep").alias("t"), F.col("b.times").alias("times"))
+        pairs = pairs.groupBy("s", "t").agg(F.sum("times").alias("count"))
         if turn < LEADER_TURNS:
             # A set is verified with one leader a turn, the one it shares most signatures with; others come in later turns.
             pairs = (
@@ -262,12 +272,15 @@ def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int,
                 .groupBy("t").agg(F.max_by("s", F.struct("count", "s")).alias("s"))
             )
         pairs = staged(pairs.select(F.col("s").alias("a"), F.col("t").alias("b")), "op8-pairs")
-        # Sets are read again for the few documents that sizes and sketches leave in pairs.
-        wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "op8-wanted")
-        sets = staged(members(docs.join(wanted, "id", "left_semi"), shingle).withColumnRenamed("id", "rep"), "op8-members")
-        s = lambda side: sets.select(F.col("rep").alias(side), F.col("members").alias(f"m{side}"))
+        # Sets are read again for the few documents that sizes and sketches leave in pairs; a bit table names these, so
+        # that no text is shuffled. The set of b goes to where that of a is.
+        places = pairs.select(_place("a")).unionByName(pairs.select(_place("b"))).distinct()
+        wanted = docs.sparkSession.sparkContext.broadcast(bit_table(places))
+        sets = staged(members(docs, shingle, wanted), "op8-members")
+        ones = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+        others = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
         links = (
-            pairs.join(s("a"), "a").join(s("b"), "b")
+            others.join(ones.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
             .filter(_similar(F.col("ma"), F.col("mb"), F.size("ma"), F.size("mb"), num, den))
             .select("a", "b")
         )
@@ -280,28 +293,40 @@ def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int,
 
 
 def _met(index: DataFrame) -> DataFrame:
-    """(part, signature, rows) of the signatures that different sets share."""
-    ends = index.groupBy("part", "signature").agg(F.min("tag").alias("x"), F.max("tag").alias("y"), F.count(F.lit(1)).alias("rows"))
-    return staged(ends.filter("x <> y").select("part", "signature", "rows"), "op8-met")
+    """(part, signature, rows, who, what) of the signatures that different sets share.
+
+    The last two sum the halves of the members' hashes: signatures shared by the same documents agree in them.
+    """
+    h = F.xxhash64("id")
+    ends = index.groupBy("part", "signature").agg(
+        F.min("tag").alias("x"), F.max("tag").alias("y"), F.count(F.lit(1)).alias("rows"),
+        F.sum(F.shiftright(h, 32)).alias("who"), F.sum(h.bitwiseAND(F.lit((1 << 32) - 1))).alias("what"),
+    )
+    return staged(ends.filter("x <> y").drop("x", "y"), "op8-met")
 
 
 def _components_of(docs: DataFrame, rep_of: DataFrame, info: DataFrame, shingle: int, num: int, den: int) -> DataFrame | None:
     """(rep, component) of the representatives that link with another."""
-    index = shared_signatures(docs, shingle, num, den)
+    # Copies add nothing to the index. A false hit of the table adds rows of a copy, no more.
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_table(info.select(_place("rep"))))
+    index = shared_signatures(docs, shingle, num, den, wanted=wanted)
     met = _met(index)
     costs = met.groupBy("part").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * (F.col("rows") - 1) / 2).cast("long").alias("pairs"))
     units = allocate(costs, num, den)
     if units:
-        index = shared_signatures(docs, shingle, num, den, units)
+        index = shared_signatures(docs, shingle, num, den, units, wanted)
         met = _met(index)
-    kept = index.select("signature", "id").join(met.select("signature"), "signature", "left_semi")
-    buckets = staged(kept.join(rep_of, "id").select("signature", "rep").distinct(), "op8-buckets")
+    # Of signatures that bring the same documents together, one is kept, with their number.
+    kept = met.groupBy("rows", "who", "what").agg(F.min("signature").alias("signature"), F.count(F.lit(1)).alias("times"))
+    kept = index.select("signature", "id").join(kept.select("signature", "times"), "signature")
+    buckets = staged(kept.join(rep_of, "id").select("signature", "times", "rep").distinct(), "op8-buckets")
     return _linked(buckets, info, docs, shingle, num, den)
 
 
 def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(id, n, component) per row of ``docs`` (id, text): documents linked at a similarity of num/den or more."""
     docs = docs.select(F.col("id").cast("long").alias("id"), "text")
+    docs = docs.select("id", "text", _place("id"))
     known = staged(summaries(docs, shingle), "op8-sets")
     with_set = known.filter("id is not null and n > 0")
     # Equal sets are one: the smallest id stands for all.
