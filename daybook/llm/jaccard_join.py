@@ -34,7 +34,7 @@ from daybook.llm.screen import BITS, bit_table, packed, passes, repeated_bits
 from daybook.llm.textvec import distinct, mix, slices, text_bytes, windows, words
 
 BAND_RATIO = 1.4
-SKETCH_WORDS = 4
+SKETCH_WORDS = 16
 LEADER_TURNS = 3
 
 
@@ -84,7 +84,7 @@ def _sets(batch: pa.RecordBatch, n: int, wanted=None) -> Iterator[tuple[int | No
 
 
 def _sketch(h: np.ndarray) -> list[int]:
-    """Parity of the members in each of 256 cells: two sketches differ in no more bits than the sets in members."""
+    """Parity of the members in each of 1024 cells: two sketches differ in no more bits than the sets in members."""
     odd = np.bincount((h >> np.uint64(7)).astype(np.int64) & (64 * SKETCH_WORDS - 1), minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
@@ -271,24 +271,26 @@ def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int,
                 .filter(_may_be_similar("a", "b", num, den))
                 .groupBy("t").agg(F.max_by("s", F.struct("count", "s")).alias("s"))
             )
-        pairs = staged(pairs.select(F.col("s").alias("a"), F.col("t").alias("b")), "op8-pairs")
-        # Sets are read again for the few documents that sizes and sketches leave in pairs; a bit table names these, so
-        # that no text is shuffled. The set of b goes to where that of a is.
-        places = pairs.select(_place("a")).unionByName(pairs.select(_place("b"))).distinct()
-        wanted = docs.sparkSession.sparkContext.broadcast(bit_table(places))
-        sets = staged(members(docs, shingle, wanted), "op8-members")
-        ones = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-        others = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
-        links = (
-            others.join(ones.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
-            .filter(_similar(F.col("ma"), F.col("mb"), F.size("ma"), F.size("mb"), num, den))
-            .select("a", "b")
-        )
-        if found is None:
-            edges = links
-        else:
-            edges = links.unionByName(found.select(F.col("rep").alias("a"), F.col("component").alias("b")))
-        found = staged(components(edges).withColumnRenamed("node", "rep"), "op8-components", keep=True)
+        # What a turn stages goes at its end, but for the components.
+        with passing(docs.sparkSession):
+            pairs = staged(pairs.select(F.col("s").alias("a"), F.col("t").alias("b")), "op8-pairs")
+            # Sets are read again for the few documents that sizes and sketches leave in pairs; a bit table names these, so
+            # that no text is shuffled. The set of b goes to where that of a is.
+            places = pairs.select(_place("a")).unionByName(pairs.select(_place("b"))).distinct()
+            wanted = docs.sparkSession.sparkContext.broadcast(bit_table(places))
+            sets = staged(members(docs, shingle, wanted), "op8-members")
+            ones = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+            others = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b")
+            links = (
+                others.join(ones.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
+                .filter(_similar(F.col("ma"), F.col("mb"), F.size("ma"), F.size("mb"), num, den))
+                .select("a", "b")
+            )
+            if found is None:
+                edges = links
+            else:
+                edges = links.unionByName(found.select(F.col("rep").alias("a"), F.col("component").alias("b")))
+            found = staged(components(edges).withColumnRenamed("node", "rep"), "op8-components", keep=True)
     return found
 
 
