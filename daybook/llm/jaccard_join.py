@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from math import floor
 
 import numpy as np
@@ -35,6 +36,7 @@ from daybook.llm.textvec import distinct, mix, slices, text_bytes, windows, word
 
 BAND_RATIO = 1.4
 SKETCH_WORDS = 16
+FOLDED_WORDS = 4
 LEADER_TURNS = 3
 
 
@@ -223,10 +225,16 @@ def _similar(a: Column, b: Column, na: Column, nb: Column, num: int, den: int) -
     return den * both >= num * (na + nb - both)
 
 
-def _may_be_similar(a: str, b: str, num: int, den: int) -> Column:
+def _folded(sketch: str) -> Column:
+    """The parities of cells thrown together, so many that FOLDED_WORDS are left: a shorter sketch, as valid."""
+    words_ = [[F.col(sketch)[j] for j in range(i, SKETCH_WORDS, FOLDED_WORDS)] for i in range(FOLDED_WORDS)]
+    return F.array(*(reduce(lambda x, y: x.bitwiseXOR(y), w) for w in words_))
+
+
+def _may_be_similar(a: str, b: str, num: int, den: int, n_words: int = SKETCH_WORDS) -> Column:
     """Necessary conditions on sizes and sketches; exact pairs follow from the sets."""
     col = lambda side, c: F.col(f"{side}.{c}")
-    differ = sum((F.bit_count(col(a, "sketch")[i].bitwiseXOR(col(b, "sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    differ = sum((F.bit_count(col(a, "sketch")[i].bitwiseXOR(col(b, "sketch")[i])) for i in range(n_words)), F.lit(0))
     n = col(a, "n") + col(b, "n")
     return (
         (num * F.greatest(col(a, "n"), col(b, "n")) <= den * F.least(col(a, "n"), col(b, "n")))
@@ -258,19 +266,20 @@ def _linked(buckets: DataFrame, info: DataFrame, docs: DataFrame, shingle: int,
             ).select("signature", "lead.*")
             b, keep = live, F.col("a.c") != F.col("b.c")
         else:
-            # All against all in what is left: conditions on sizes and sketches are part of the join.
-            a = b = live.join(info, "rep")
-            keep = (F.col("a.c") < F.col("b.c")) & _may_be_similar("a", "b", num, den)
+            # All against all in what is left: conditions on sizes and short sketches are part of the join.
+            a = b = live.join(info.select("rep", "n", _folded("sketch").alias("sketch")), "rep")
+            keep = (F.col("a.c") < F.col("b.c")) & _may_be_similar("a", "b", num, den, FOLDED_WORDS)
         met = a.alias("a").join(b.alias("b"), (F.col("a.signature") == F.col("b.signature")) & keep)
         pairs = met.select(F.col("a.rep").alias("s"), F.col("b.rep").alias("t"), F.col("b.times").alias("times"))
         pairs = pairs.groupBy("s", "t").agg(F.sum("times").alias("count"))
+        pairs = (
+            pairs.join(info.alias("a"), F.col("s") == F.col("a.rep")).join(info.alias("b"), F.col("t") == F.col("b.rep"))
+            .filter(_may_be_similar("a", "b", num, den))
+            .select("s", "t", "count")
+        )
         if turn < LEADER_TURNS:
             # A set is verified with one leader a turn, the one it shares most signatures with; others come in later turns.
-            pairs = (
-                pairs.join(info.alias("a"), F.col("s") == F.col("a.rep")).join(info.alias("b"), F.col("t") == F.col("b.rep"))
-                .filter(_may_be_similar("a", "b", num, den))
-                .groupBy("t").agg(F.max_by("s", F.struct("count", "s")).alias("s"))
-            )
+            pairs = pairs.groupBy("t").agg(F.max_by("s", F.struct("count", "s")).alias("s"))
         # What a turn stages goes at its end, but for the components.
         with passing(docs.sparkSession):
             pairs = staged(pairs.select(F.col("s").alias("a"), F.col("t").alias("b")), "op8-pairs")
