@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, collision_ann, html_extract, jaccard_join, katz, mixing, quality_rules, substring_dedup, suffix_dedup, warc
+from daybook.llm import (
+    bpe,
+    collision_ann,
+    golay_simhash,
+    html_extract,
+    jaccard_join,
+    katz,
+    mixing,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    token_alignment,
+    warc,
+    whitening,
+)
 from daybook.llm.common import table
 
 
@@ -120,3 +134,26 @@ QUERIES["op7_suffix_dedup"] = op7_suffix_dedup
 QUERIES["op9_html_extraction"] = op9_html_extraction
 QUERIES["op10_collision_ann"] = op10_collision_ann
 QUERIES["pipeline"] = pipeline
+
+
+def op11_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return golay_simhash.classes(docs, size=4).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.aligned(docs, *paths).withColumnRenamed("id", "doc_id")
+
+
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return whitening.whitened(vectors, components=16).withColumnRenamed("id", "vec_id")
+
+
+QUERIES["op11_golay_simhash"] = op11_golay_simhash
+QUERIES["op12_token_alignment"] = op12_token_alignment
+QUERIES["op13_chebyshev_whitening"] = op13_chebyshev_whitening
