@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from bisect import bisect_right
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,45 +37,23 @@ from tokenizers import Tokenizer
 
 from daybook.llm.bpe import Vocabulary
 from daybook.llm.common import passing, staged
-from daybook.llm.textvec import slices
+from daybook.llm.textvec import distinct, slices
 
 BLOCK_BYTES = 8 << 20
-CACHED = 200_000  # pieces whose alignment a task keeps between blocks
-ENCODED = 2_000  # pieces encoded together
+CACHED = 400_000  # pieces whose alignment a task keeps between blocks
+ENCODED = 10_000  # pieces encoded together
 # A space, what follows up to the next space behind a character that is no white space, and white space at the end.
 PIECE = regex.compile(r" \s*\S(?:[^ ]|(?<=\s) )*(?: \s*\Z)?")
+ODD_SPACE = regex.compile(r"\s ")
 SPACE_MARK = "▁"
 
 
-class Alignment:
-    """Alignment of one piece of text."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "pairs", "fits")
-
-    def __init__(self, a: list[int], ends_a: list[int], b: list[int], ends_b: list[int]):
-        self.n_a, self.n_b, self.fits = len(a), len(b), True
-        groups, pairs = [], []
-        i = j = first_a = first_b = 0
-        while i < len(a) and j < len(b):
-            pairs.append(a[i] << 32 | b[j])
-            x, y = ends_a[i], ends_b[j]
-            i, j = i + (x <= y), j + (y <= x)
-            if x == y:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                first_a, first_b = i, j
-        self.n_groups, self.groups, self.pairs = len(groups), ";".join(groups), np.array(pairs, np.int64)
-
-
-class Misfit(Alignment):
-    """A piece whose tokens do not decode to its bytes."""
-
-    def __init__(self):
-        super().__init__([], [], [], [])
-        self.fits = False
-
-
 class Pair:
-    """Both tokenizers, loaded from the contents of their files."""
+    """Both tokenizers, loaded from the contents of their files, and the pieces of text aligned so far.
+
+    Per piece: ``counts`` (A tokens, B tokens, groups), ``fits``, its linked pairs (``pairs`` from ``begin`` on, ``size`` of
+    them) and ``groups``, its part of the text's listing.
+    """
 
     def __init__(self, spec: str, model: bytes, tokens: dict[int, bytes]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,106 +61,195 @@ class Pair:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
-        self.a_bytes = tokens
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.b_bytes, self.whole = {}, False
+        self.whole, b_bytes = False, []
         for i in range(self.b.get_piece_size()):
             name = self.b.id_to_piece(i)
-            self.b_bytes[i] = bytes([int(name[1:-1], 16)]) if self.b.is_byte(i) else name.replace(SPACE_MARK, " ").encode()
+            b_bytes.append(bytes([int(name[1:-1], 16)]) if self.b.is_byte(i) else name.replace(SPACE_MARK, " ").encode())
             self.whole |= not self.b.is_byte(i) and SPACE_MARK in name.lstrip(SPACE_MARK)
-        self.known: dict[str, Alignment] = {}
+        self.of_a, self.of_b = Side([tokens.get(i, b"") for i in range(max(tokens) + 1)], "|"), Side(b_bytes, ";")
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.fits, self.size = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.counts, self.pairs = np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
 
     def pieces(self, text: str) -> list[str]:
-        """A space and the text, cut where both tokenizers split."""
-        spaced = " " + text
-        return [spaced] if self.whole else PIECE.findall(spaced) or [spaced]
+        """A space and the text, cut where both tokenizers split; the space that begins each piece is left out."""
+        if self.whole:
+            return [text]
+        if ODD_SPACE.search(" " + text) or text[-1].isspace():
+            return [p[1:] for p in PIECE.findall(" " + text)] or [text]
+        return text.split(" ")
 
     def align(self, pieces: list[str]) -> None:
-        """Add the alignments of ``pieces`` to ``known``."""
+        """Add the alignments of ``pieces`` to what is known."""
         for at in range(0, len(pieces), ENCODED):
             part = pieces[at : at + ENCODED]
-            left = self.a.encode_batch(part, add_special_tokens=False)
-            right = self.b.encode([p[1:] for p in part], return_type="proto", num_threads=1)
-            for piece, x, y in zip(part, left, right):
-                self.known[piece] = self._aligned(piece, x, y)
-
-    def _aligned(self, piece: str, x, y) -> Alignment:
-        data = piece.encode()
-        a, b = x.ids, [p.id for p in y.pieces]
+            left = self.a.encode_batch([" " + p for p in part], add_special_tokens=False)
+            right = self.b.encode(part, return_type="proto", num_threads=1)
+            self.known.update(zip(part, range(len(self.groups), len(self.groups) + len(part))))
+            self._add(part, left, [[(t.id, t.begin, t.end) for t in p.pieces] for p in right])
+
+    def _add(self, pieces: list[str], left: list, right: list) -> None:
+        data = [(" " + p).encode() for p in pieces]
+        starts = np.concatenate([[0], np.cumsum([len(d) for d in data])])
         # Spans in bytes: A counts characters, B bytes behind the space that it puts in front itself.
-        if len(data) == len(piece):
-            spans_a = x.offsets
-        else:
-            byte = np.concatenate([[0], np.cumsum([len(c.encode()) for c in piece])]).tolist()
-            spans_a = [(byte[s], byte[e]) for s, e in x.offsets]
-        spans_b = [(p.begin + 1, p.end + 1) for p in y.pieces]
-        if spans_b:
-            spans_b[0] = (0, spans_b[0][1])
-        cuts = sorted(_clean_ends(spans_a, len(data)) & _clean_ends(spans_b, len(data)) | {len(data)})
-        ends_a = _refined(data, a, spans_a, self.a_bytes, cuts)
-        ends_b = _refined(data, b, spans_b, self.b_bytes, cuts)
-        return Misfit() if ends_a is None or ends_b is None else Alignment(a, ends_a, b, ends_b)
-
-
-def _clean_ends(spans: list[tuple[int, int]], size: int) -> set[int]:
-    """Ends of tokens behind which the next token begins, and before which no later one does."""
-    out, least = set(), size
-    for (begin, end), following in zip(reversed(spans), reversed([s for s, _ in spans[1:]] + [size])):
-        least = min(least, following)
-        if least >= end > begin:
-            out.add(end)
-    return out
-
-
-def _refined(data: bytes, ids: list[int], spans: list[tuple[int, int]], decoded: dict[int, bytes], cuts: list[int]) -> list[int] | None:
-    """Where each token ends, in bytes; None if a token's bytes are not those of the text.
-
-    A token whose span has the size of its bytes, and begins where the last one ended, is where its span says. Others
-    are placed by their bytes, within the cut around them.
-    """
-    ends, at = [], 0
-    for i, (begin, end) in zip(ids, spans):
-        token = decoded[i]
-        if end - begin != len(token) or begin != at:
-            end = at + len(token)
-            limit = cuts[min(bisect_right(cuts, at), len(cuts) - 1)]
-            if end > limit:
-                return None
-        if data[at:end] != token:
-            return None
-        ends.append(end)
-        at = end
-    return ends if at == len(data) else None
+        spans = [x.offsets if len(raw) == len(piece) + 1 else _in_bytes(" " + piece, x.offsets) for piece, raw, x in zip(pieces, data, left)]
+        ids = np.array(list(chain.from_iterable([x.ids for x in left])), np.int64)
+        a = Tokens(self.of_a, ids, [len(x) for x in spans], np.array(list(chain.from_iterable(spans)), np.int64), starts)
+        number = [len(x) for x in right]
+        flat = np.array(list(chain.from_iterable(right)), np.int64).reshape(-1, 3)
+        spans = flat[:, 1:] + 1
+        spans[(np.cumsum(number) - number)[np.array(number, np.int64) > 0], 0] = 0
+        b = Tokens(self.of_b, flat[:, 0], number, spans, starts)
+        cuts = _both(a.clean, b.clean)
+        raw = b"".join(data)
+        fits = a.placed(raw, cuts) & b.placed(raw, cuts)
+        a.keep(fits)
+        b.keep(fits)
+
+        # Links: of each A token, the B tokens from the one that ends behind its start to the one that reaches its end.
+        first = np.searchsorted(b.ends, a.ends - a.sizes, "right")
+        last = np.searchsorted(b.ends, a.ends, "left")
+        number = last - first + 1
+        take = np.repeat(np.arange(len(a.ids)), number)
+        to = np.arange(len(take)) - np.repeat(np.cumsum(number) - number, number) + first[take]
+        pairs = a.ids[take] << 32 | b.ids[to]
+        # Groups end where A and B tokens both end; a group lists its A tokens, then its B tokens.
+        common = _both(a.ends, b.ends)
+        group_a, group_b = np.searchsorted(common, a.ends), np.searchsorted(common, b.ends)
+        texts = np.concatenate([a.listed(group_a), b.listed(group_b)])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        texts = texts[order].tolist()
+        n = len(pieces)
+        n_a, n_b = np.bincount(a.piece, minlength=n), np.bincount(b.piece, minlength=n)
+        of = np.searchsorted(starts, common, "left") - 1
+        n_groups = np.bincount(of, minlength=n)
+        at = 0
+        for size in (n_a + n_b).tolist():
+            self.groups.append("".join(texts[at : at + size])[:-1])
+            at += size
+        self.fits = np.concatenate([self.fits, fits])
+        self.size = np.concatenate([self.size, np.bincount(a.piece[take], minlength=n)])
+        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups], axis=1)])
+        self.pairs = np.concatenate([self.pairs, pairs])
+
+
+def _both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What is in both of two ascending arrays."""
+    return x[y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x] if len(x) and len(y) else x[:0]
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in ascending order, and the place of each value among them."""
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ordered[new], place
+
+
+def _in_bytes(piece: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    byte = [0]
+    for c in piece:
+        byte.append(byte[-1] + len(c.encode()))
+    return [(byte[s], byte[e]) for s, e in spans]
+
+
+class Side:
+    """A tokenizer's tokens: their bytes, and how they are listed within a group and at its end."""
+
+    def __init__(self, decoded: list[bytes], end: str):
+        self.decoded = decoded
+        self.size = np.array([len(d) for d in decoded], np.int64)
+        self.inside = np.array([f"{i}," for i in range(len(decoded))], object)
+        self.last = np.array([f"{i}{end}" for i in range(len(decoded))], object)
+
+
+class Tokens:
+    """The tokens of many pieces laid one behind the other, with their spans in bytes."""
+
+    def __init__(self, side: Side, ids: np.ndarray, number: list[int], spans: np.ndarray, starts: np.ndarray):
+        self.side, self.starts, self.ids = side, starts, ids
+        self.piece = np.repeat(np.arange(len(number)), number)
+        self.sizes = side.size[self.ids]
+        span = spans.reshape(-1, 2) + starts[self.piece][:, None]
+        self.begin, self.end = span[:, 0], span[:, 1]
+        # A coarse cut: a token ends, no later one begins before, and the next piece begins there at the latest.
+        later = np.minimum.accumulate(np.append(self.begin, starts[-1])[::-1])[::-1][1:]
+        self.clean = distinct(np.concatenate([self.end[(later >= self.end) & (self.end > self.begin)], starts[1:]]))
+
+    def placed(self, raw: bytes, cuts: np.ndarray) -> np.ndarray:
+        """Place each token by its span where that has the size of its bytes, else by its bytes from the last cut on; per
+        piece, whether its tokens fill it and have its bytes."""
+        n = len(self.starts) - 1
+        piece_end = self.starts[1:]
+        run = np.cumsum(self.sizes)
+        head = np.searchsorted(self.piece, np.arange(n))
+        before = np.concatenate([[0], run])[head]
+        by_bytes = run - before[self.piece] + self.starts[self.piece]
+        # From the last cut before the token: bytes of the tokens since then. In a piece that fits both ways agree.
+        cut = cuts[np.maximum(np.searchsorted(cuts, self.begin, "right") - 1, 0)] if len(cuts) else self.starts[self.piece]
+        plain = (self.end - self.begin == self.sizes) & (by_bytes == self.end)
+        wrong = ~plain & ((by_bytes > piece_end[self.piece]) | (by_bytes - self.sizes < np.minimum(cut, self.begin)))
+        self.ends = np.where(plain, self.end, by_bytes)
+        fits = np.ones(n, bool)
+        fits[self.piece[wrong]] = False
+        filled = np.bincount(self.piece, self.sizes, n).astype(np.int64) == np.diff(self.starts)
+        fits &= filled
+        joined = b"".join([self.side.decoded[i] for i in self.ids.tolist()])
+        if joined != raw:
+            # Some pieces are not what their tokens say.
+            end = np.cumsum(np.bincount(self.piece, self.sizes, n).astype(np.int64)).tolist()
+            for i, (x, y) in enumerate(zip([0, *end], end)):
+                fits[i] &= joined[x:y] == raw[self.starts[i] : self.starts[i + 1]]
+        return fits
+
+    def keep(self, fits: np.ndarray) -> None:
+        own = fits[self.piece]
+        self.ids, self.piece, self.sizes, self.ends = self.ids[own], self.piece[own], self.sizes[own], self.ends[own]
+
+    def listed(self, group: np.ndarray) -> np.ndarray:
+        last = np.append(group[1:] != group[:-1], True) if len(group) else np.zeros(0, bool)
+        return np.where(last, self.side.last[self.ids], self.side.inside[self.ids])
 
 
 def _block(pair: Pair, texts: list[str | None]):
     """Alignment of many texts: numbers per text, distinct pairs, and each text's pairs as places among these."""
-    numbers: dict[str, int] = {}
-    held = []
-    for text in texts:
-        held.append(np.array([numbers.setdefault(p, len(numbers)) for p in pair.pieces(text)], np.int64) if text else None)
-    if len(pair.known) + len(numbers) > CACHED:
-        pair.known.clear()
-    pair.align([p for p in numbers if p not in pair.known])
-    entries = [pair.known[p] for p in numbers]
-    fits = np.array([e.fits for e in entries], bool)
-    size = np.array([len(e.pairs) for e in entries], np.int64)
-    counts = np.array([(e.n_a, e.n_b, e.n_groups) for e in entries], np.int64).reshape(-1, 3)
+    if len(pair.known) > CACHED:
+        pair.forget()
+    split = [pair.pieces(t) if t else None for t in texts]
+    new = set().union(*[p for p in split if p]).difference(pair.known)
+    pair.align(sorted(new))
+    known, groups = pair.known, pair.groups
+    fits, size, counts = pair.fits, pair.size, pair.counts
+    held = [np.array([known[p] for p in pieces], np.int64) if pieces else None for pieces in split]
+    # The block's own pieces, and their pairs, numbered anew.
+    own = distinct(np.concatenate([h for h in held if h is not None] or [np.zeros(0, np.int64)]))
     begin = np.cumsum(size) - size
-    pairs, place = np.unique(np.concatenate([e.pairs for e in entries] or [np.zeros(0, np.int64)]), return_inverse=True)
+    take = np.arange(size[own].sum()) - np.repeat(np.cumsum(size[own]) - size[own], size[own]) + np.repeat(begin[own], size[own])
+    pairs, place = _numbered(pair.pairs[take])
+    own_begin = np.zeros(len(size), np.int64)
+    own_begin[own] = np.cumsum(size[own]) - size[own]
     sums, digests, at, times, ends = np.zeros((len(texts), 4), np.int64), [], [], [], []
     for n, pieces in enumerate(held):
         digest = ""
         if pieces is not None and fits[pieces].all():
-            piece, often = np.unique(pieces, return_counts=True)
+            piece, of_piece = _numbered(pieces)
+            often = np.bincount(of_piece)
             of = size[piece]
-            take = np.arange(of.sum()) - np.repeat(np.cumsum(of) - of, of) + np.repeat(begin[piece], of)
-            linked, back = np.unique(place[take], return_inverse=True)
+            take = np.arange(of.sum()) - np.repeat(np.cumsum(of) - of, of) + np.repeat(own_begin[piece], of)
+            linked, back = _numbered(place[take])
             at.append(linked.astype(np.int32))
             times.append(np.bincount(back, np.repeat(often, of)).astype(np.int64))
             sums[n, :3] = counts[piece].T @ often
             sums[n, 3] = of @ often
-            digest = hashlib.sha256(";".join([entries[i].groups for i in pieces.tolist()]).encode()).hexdigest()
+            digest = hashlib.sha256(";".join([groups[i] for i in pieces.tolist()]).encode()).hexdigest()
         digests.append(digest)
         ends.append(len(at[-1]) if digest else 0)
     at = np.concatenate(at) if at else np.zeros(0, np.int32)
