@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from daybook.catalogue.views import oracle as raw
-from daybook.schemas import ENTITIES
 
 # Column values: raw text to typed, typed to text.
 TYPED = {
@@ -50,8 +49,13 @@ SURVIVOR = {
 }
 
 
-def bronze(e: str) -> str:
-    return f"SELECT {TYPED[e]} FROM ({raw(e)}) WHERE {BRONZE_VALID[e]}"
+# Business keys, stated here apart from the code under test.
+KEY = {"policies": "policy_id, effective_date", "policyholders": "holder_id, policy_id", "payments": "payment_id"}
+WEEK = "policyholders_week"
+
+
+def bronze(e: str, source: str | None = None) -> str:
+    return f"SELECT {TYPED[e]} FROM ({raw(source or e)}) WHERE {BRONZE_VALID[e]}"
 
 
 def bronze_rejects(e: str) -> str:
@@ -59,11 +63,10 @@ def bronze_rejects(e: str) -> str:
     return f"SELECT *, '{reason}' AS reject_reason FROM ({raw(e)}) WHERE NOT ({BRONZE_VALID[e]})"
 
 
-def clean(e: str) -> str:
-    key = ", ".join((*ENTITIES[e].key, "_runDate"))
+def clean(e: str, source: str | None = None) -> str:
     return (
-        f"SELECT * FROM ({bronze(e)}) WHERE {SILVER_VALID[e]} "
-        f"QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {SURVIVOR[e]}) = 1"
+        f"SELECT * FROM ({bronze(e, source)}) WHERE {SILVER_VALID[e]} "
+        f"QUALIFY row_number() OVER (PARTITION BY {KEY[e]}, _runDate ORDER BY {SURVIVOR[e]}) = 1"
     )
 
 
@@ -73,10 +76,10 @@ def silver_rejects(e: str) -> str:
 
 
 def _upserted(e: str, column: str, was: str, becomes: str) -> str:
-    on = " AND ".join(f"t.{k} = s.{k}" for k in ENTITIES[e].key)
+    on = " AND ".join(f"t.{k} = s.{k}" for k in KEY[e].split(", "))
     return f"""
-WITH clean AS ({clean(e)}), old AS (SELECT * FROM clean WHERE _runDate <= '2026-02-04'),
-new AS (SELECT * REPLACE ('2026-02-05' AS _runDate) FROM clean WHERE _runDate > '2026-02-04'
+WITH clean AS MATERIALIZED ({clean(e)}), old AS MATERIALIZED (SELECT * FROM clean WHERE _runDate <= '2026-02-04'),
+new AS MATERIALIZED (SELECT * REPLACE ('2026-02-05' AS _runDate) FROM clean WHERE _runDate > '2026-02-04'
  UNION ALL SELECT * REPLACE ('{becomes}' AS {column}, '2026-02-05' AS _runDate) FROM old WHERE {column} = '{was}')
 SELECT * FROM old t WHERE NOT EXISTS (SELECT 1 FROM new s WHERE {on}) UNION ALL SELECT * FROM new"""
 
@@ -114,23 +117,61 @@ def payments(where: str = "TRUE") -> str:
     )
 
 
-def _counts() -> str:
+def _counts(holders: str = "policyholders") -> str:
     parts = []
-    for e in ENTITIES:
-        key = ", ".join(ENTITIES[e].key)
+    for e, key in KEY.items():
+        source = holders if e == "policyholders" else e
         parts.append(
             f"SELECT 'bronze' AS layer, '{e}' AS entity, runDate, count(*) AS rows_read, "
             f"count(*) FILTER ({BRONZE_VALID[e]}) AS rows_valid, count(*) FILTER (NOT ({BRONZE_VALID[e]})) AS rows_rejected "
-            f"FROM ({raw(e)}) GROUP BY runDate"
+            f"FROM ({raw(source)}) GROUP BY runDate"
         )
         parts.append(
             f"SELECT 'silver' AS layer, '{e}' AS entity, runDate, count(*) AS rows_read, "
             f"count(DISTINCT ({key})) FILTER ({SILVER_VALID[e]}) AS rows_valid, "
-            f"count(*) FILTER ({SILVER_REJECTED[e]}) AS rows_rejected FROM ({bronze(e)}) GROUP BY runDate"
+            f"count(*) FILTER ({SILVER_REJECTED[e]}) AS rows_rejected FROM ({bronze(e, source)}) GROUP BY runDate"
         )
     return " UNION ALL ".join(parts)
 
 
+# Each version is the first row of an island of equal fingerprints; it ends where the next island starts.
+_WEEK_HISTORY = f"""
+SELECT * EXCLUDE (before), coalesce(lead(_runDate) OVER (PARTITION BY holder_id, policy_id ORDER BY _runDate), '9999-12-31') AS effective_end_date,
+ lead(_runDate) OVER (PARTITION BY holder_id, policy_id ORDER BY _runDate) IS NULL AS is_current, _runDate AS effective_start_date
+FROM (SELECT *, lag(attr_hash) OVER (PARTITION BY holder_id, policy_id ORDER BY _runDate) AS before FROM
+ (SELECT *, sha256(coalesce(full_name, '') || '||' || coalesce(address, '') || '||' || coalesce(city, '')
+  || '||' || coalesce(state, '') || '||' || coalesce(zip, '')) AS attr_hash FROM ({clean("policyholders", WEEK)})))
+WHERE before IS NULL OR before <> attr_hash"""
+
+_FIRST_LOADED = f"""
+WITH clean AS MATERIALIZED ({clean("policies")}), old AS MATERIALIZED (SELECT * FROM clean WHERE _runDate <= '2026-02-04'),
+new AS MATERIALIZED (SELECT * REPLACE ('2026-02-05' AS _runDate) FROM clean WHERE _runDate > '2026-02-04'
+ UNION ALL SELECT * REPLACE ('Active' AS status, '2026-02-05' AS _runDate) FROM old WHERE status = 'Cancelled')
+SELECT coalesce(s.policy_id, t.policy_id) AS policy_id, CASE WHEN s.policy_id IS NULL THEN t.product ELSE s.product END AS product,
+ CASE WHEN s.policy_id IS NULL THEN t.state ELSE s.state END AS state, coalesce(s.effective_date, t.effective_date) AS effective_date,
+ CASE WHEN s.policy_id IS NULL THEN t.written_premium ELSE s.written_premium END AS written_premium,
+ CASE WHEN s.policy_id IS NULL THEN t.status ELSE s.status END AS status, CASE WHEN s.policy_id IS NULL THEN t.runDate ELSE s.runDate END AS runDate,
+ CASE WHEN s.policy_id IS NULL THEN t._runDate ELSE s._runDate END AS _runDate,
+ CASE WHEN t.policy_id IS NULL THEN '2026-02-05' ELSE '2026-02-04' END AS first_loaded
+FROM old t FULL JOIN new s ON t.policy_id = s.policy_id AND t.effective_date = s.effective_date"""
+
+_ENDORSED = f"""
+WITH p AS MATERIALIZED (SELECT policy_id, effective_date, product FROM ({clean("policies")})),
+d AS (SELECT * FROM p UNION ALL SELECT policy_id, CAST(effective_date + INTERVAL 180 DAY AS DATE), product || ' PLUS' FROM p
+ WHERE CAST(substr(policy_id, 2) AS BIGINT) % 3 = 0),
+v AS MATERIALIZED (SELECT *, lead(effective_date) OVER (PARTITION BY policy_id ORDER BY effective_date) AS until FROM d)
+SELECT f.payment_date AS day, v.product, {_sum("f.amount")} AS total, count(*) AS n_facts
+FROM ({clean("payments")}) f JOIN v ON f.policy_id = v.policy_id AND f.payment_date >= v.effective_date
+ AND (v.until IS NULL OR f.payment_date < v.until) GROUP BY ALL"""
+
+_BY_HOLDER_STATE = f"""
+WITH h AS MATERIALIZED ({_WEEK_HISTORY})
+SELECT f._runDate, h.state, count(*) AS n_payments FROM ({clean("payments")}) f JOIN h ON f.policy_id = h.policy_id
+ AND f._runDate >= h.effective_start_date AND f._runDate < h.effective_end_date GROUP BY ALL"""
+
+# Of the whole daily path: clean payments lie in the last run that holds their key.
+_LAST_RUN = "QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY _runDate DESC) = 1"
+
 _LOG = f"""
 log AS (SELECT *, rows_rejected * 100 >= 6.0 * rows_read AS failed FROM ({_counts()}))"""
 
@@ -205,4 +246,25 @@ FROM ({clean("payments")}) p JOIN ({clean("policies")}) d ON p.policy_id = d.pol
     "q38_upsert_keep_newer": f"""
 SELECT * FROM ({clean("policyholders")})
 QUALIFY row_number() OVER (PARTITION BY holder_id, policy_id ORDER BY _runDate DESC) = 1""",
+    "q39_history_of_days": _WEEK_HISTORY,
+    "q40_table_history_week": _WEEK_HISTORY,
+    "q41_upsert_first_loaded": _FIRST_LOADED,
+    "q42_endorsed_daily": _ENDORSED,
+    "q43_payments_by_holder_state": _BY_HOLDER_STATE,
+    "q44_day_bronze_payments": bronze("payments"),
+    "q45_day_rejects_policies": f"SELECT {TEXT['policies']}, CASE WHEN {SILVER_FAILED['policies']} THEN "
+    f"'POLICY_SILVER_RULES_FAILED' ELSE 'POLICY_SILVER_RULES_UNKNOWN' END AS reject_reason FROM ({bronze('policies')}) "
+    f"WHERE {SILVER_REJECTED['policies']}",
+    "q46_day_silver_payments": f"SELECT * FROM ({clean('payments')}) {_LAST_RUN}",
+    "q47_day_history": _WEEK_HISTORY,
+    "q48_day_gold_export": written_premium("_runDate, "),
+    "q49_day_log": f"SELECT 'daily_batch' AS pipeline_name, *, 'SUCCESS' AS status FROM ({_counts(WEEK)})",
+    "q50_day_alerts": f"""
+SELECT DISTINCT 'Success' AS status, 'dev' AS environment, 'daily_batch' AS pipelineName, 'daily_batch-' || runDate AS runId, runDate,
+ 'true' AS exportCsv, '' AS activityName, '' AS errorCode, '' AS errorMessage FROM ({raw("policies")})""",
+    "q51_day_pending": f"""
+SELECT runDate, 'pending' AS state FROM
+ (SELECT CAST(CAST(unnest(generate_series(DATE '2026-01-31', DATE '2026-02-10', INTERVAL 1 DAY)) AS DATE) AS VARCHAR) AS runDate)
+WHERE runDate NOT IN (SELECT runDate FROM ({raw("policies")}))
+UNION ALL SELECT max(runDate), 'mark' FROM ({raw("policies")})""",
 }

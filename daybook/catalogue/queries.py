@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.catalogue import week
 from daybook.catalogue.views import raw
 from daybook.functions.digest import attribute_hash
 from daybook.functions.typing import as_text, as_typed
@@ -17,11 +18,18 @@ from daybook.operators import runs
 from daybook.operators.aggregates import active_policies_daily, payments_daily, written_premium_daily
 from daybook.operators.checks import duplicate_keys
 from daybook.operators.dedupe import one_per_run_key
-from daybook.operators.history import as_versions, changed_versions, current_versions, expired_versions, scd2_apply
+from daybook.operators.history import (
+    as_versions,
+    changed_versions,
+    current_versions,
+    expired_versions,
+    history_of_days,
+    scd2_apply,
+)
 from daybook.operators.rules import BRONZE_RULES, SILVER_RULES
-from daybook.operators.star import daily_totals
-from daybook.operators.upsert import upsert
-from daybook.plans.history import load_history
+from daybook.operators.star import daily_totals, valid_at, versions_between
+from daybook.operators.upsert import upsert, upsert_columns
+from daybook.plans.history import load_history, load_history_days
 from daybook.plans.merge import merge_run
 from daybook.schemas import ENTITIES, HISTORY_TABLE, RUN, TABLES
 from daybook.session import new_scratch_path, write_scratch
@@ -40,21 +48,21 @@ FAILED_SHARE = 6.0
 # Layers as frames
 
 
-def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return as_typed(BRONZE_RULES[entity].valid(raw(spark, sf_dir, entity)), ENTITIES[entity].conversions)
+def bronze(spark: SparkSession, sf_dir: str, entity: str, source: str | None = None) -> DataFrame:
+    return as_typed(BRONZE_RULES[entity].valid(raw(spark, sf_dir, source or entity)), ENTITIES[entity].conversions)
 
 
 def bronze_rejects(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return BRONZE_RULES[entity].rejects(raw(spark, sf_dir, entity)).drop("rejected_at")
 
 
-def clean(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return one_per_run_key(SILVER_RULES[entity].valid(bronze(spark, sf_dir, entity)), ENTITIES[entity])
+def clean(spark: SparkSession, sf_dir: str, entity: str, source: str | None = None) -> DataFrame:
+    return one_per_run_key(SILVER_RULES[entity].valid(bronze(spark, sf_dir, entity, source)), ENTITIES[entity])
 
 
-def stored_clean(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def stored_clean(spark: SparkSession, sf_dir: str, entity: str, source: str | None = None) -> DataFrame:
     """The clean rows as a stored table, for queries that use them more than once."""
-    return write_scratch(clean(spark, sf_dir, entity), f"clean-{entity}")[0]
+    return write_scratch(clean(spark, sf_dir, entity, source), f"clean-{entity}")[0]
 
 
 def silver_rejects(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -136,6 +144,11 @@ def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_versions(scd2_history(spark, sf_dir))
 
 
+def week_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven holder snapshots as one history, in one plan."""
+    return history_of_days(stored_clean(spark, sf_dir, "policyholders", "policyholders_week"), HOLDERS.tracked, HOLDERS.key)
+
+
 # Aggregates
 
 
@@ -156,9 +169,30 @@ def gold_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_dimension_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dimension = clean(spark, sf_dir, "policies").select("policy_id", "product")
+    """A policy may come with several effective dates: a payment counts once, under the one valid on its day."""
+    payments = clean(spark, sf_dir, "payments")
+    dimension = clean(spark, sf_dir, "policies")
+    return daily_totals(payments, dimension, "policy_id", "payment_date", "amount", "product", "effective_date")
+
+
+def endorsed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third policy gets another product half a year after it took effect; payments before that day are left out."""
+    policies = clean(spark, sf_dir, "policies").select("policy_id", "effective_date", "product")
+    changed = policies.where(F.substring("policy_id", 2, 20).cast("bigint") % 3 == 0).select(
+        "policy_id", F.date_add("effective_date", 180).alias("effective_date"), F.concat("product", F.lit(" PLUS")).alias("product")
+    )
     payments = clean(spark, sf_dir, "payments")
-    return daily_totals(payments, dimension, "policy_id", "payment_date", "amount", "product")
+    dimension = policies.unionByName(changed)
+    return daily_totals(payments, dimension, "policy_id", "payment_date", "amount", "product", "effective_date", early=False)
+
+
+def payments_by_holder_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of each run under the state that the policy's holder had on that day, from the history of all days."""
+    history = week_history(spark, sf_dir).select("policy_id", "state", "effective_start_date", "effective_end_date")
+    versions = versions_between(history, "effective_start_date", "effective_end_date").drop("effective_start_date", "effective_end_date")
+    payments = clean(spark, sf_dir, "payments").select("policy_id", "payment_id", RUN)
+    placed = valid_at(payments, versions, ["policy_id"], RUN)
+    return placed.groupBy(RUN, "state").agg(F.count(F.lit(1)).alias("n_payments"))
 
 
 # Tables and files
@@ -210,7 +244,7 @@ def gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _scratch_lake(spark, table) as lake:
         lake.overwrite_partitions(table, result.hint("rebalance", RUN))
         path = f"{lake.base}/export"
-        write_csv(lake.read(table).drop("_loaded_at"), path)
+        write_csv(lake.read(table).drop("_loaded_at"), path, one_file=True)
     types = {f.name: f.dataType.simpleString() for f in TABLES[table].schema}
     return as_typed(read_text(spark, path), types)
 
@@ -219,7 +253,7 @@ def raw_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Policies as a landing drop of several part files, copied with every field quoted, and read back."""
     base = new_scratch_path(spark, "drops")
     landing, copied = (drop_path(f"{base}/{zone}", "policies", FIRST_DAY) for zone in ("landing", "raw"))
-    write_csv(raw(spark, sf_dir, "policies").drop(RUN), landing, single_file_rows=0)
+    write_csv(raw(spark, sf_dir, "policies").drop(RUN), landing)
     copy_drop(spark, landing, copied)
     return read_text(spark, copied)
 
@@ -243,6 +277,33 @@ def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_files(HISTORY_TABLE).drop("_loaded_at", "_sourceFile")
 
 
+def table_history_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history: two days one by one, four in one plan, the last one again by itself and repeated."""
+    snapshots = _stored(stored_clean(spark, sf_dir, "policyholders", "policyholders_week"), HOLDERS.silver)
+
+    def day(run_date: str) -> DataFrame:
+        return snapshots.where(F.col(RUN) == run_date)
+
+    with _scratch_lake(spark, HISTORY_TABLE) as lake:
+        for run_date in week.WEEK[:2]:
+            load_history(lake, run_date, day(run_date))
+        load_history_days(lake, week.WEEK[2:6], snapshots)
+        for run_date in (week.WEEK[6], week.WEEK[6]):
+            load_history(lake, run_date, day(run_date))
+    return lake.read_files(HISTORY_TABLE).drop("_loaded_at", "_sourceFile")
+
+
+def upsert_first_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert that updates all columns but the day a row was first loaded."""
+
+    def loaded(rows: DataFrame, run_date: str) -> DataFrame:
+        return rows.withColumn("first_loaded", F.lit(run_date))
+
+    old, new = _old_and_new(stored_clean(spark, sf_dir, "policies"), "status", "Cancelled", "Active")
+    update = [c for c in old.columns if c not in ENTITIES["policies"].key]
+    return upsert_columns(loaded(old, LAST_OLD_RUN), loaded(new, NEXT_RUN), ENTITIES["policies"].key, update=update)
+
+
 # Runs
 
 
@@ -333,4 +394,9 @@ QUERIES: dict[str, Query] = {
     "q36_fact_dimension_daily": fact_dimension_daily,
     "q37_scd2_current": scd2_current,
     "q38_upsert_keep_newer": upsert_keep_newer,
-}
+    "q39_history_of_days": week_history,
+    "q40_table_history_week": table_history_week,
+    "q41_upsert_first_loaded": upsert_first_loaded,
+    "q42_endorsed_daily": endorsed_daily,
+    "q43_payments_by_holder_state": payments_by_holder_state,
+} | week.QUERIES

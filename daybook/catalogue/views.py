@@ -39,6 +39,22 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey <both days>
 WHERE NOT (r.d = 1 AND c_custkey % 10 = 9) AND NOT (r.d = 2 AND c_custkey % 10 = 8)
 """
 
+# Seven snapshots. Addresses change back and forth, a state moves for good, holders come, go and return, and some stand
+# twice in a snapshot, the second time with another address.
+POLICYHOLDERS_WEEK = """
+SELECT CASE WHEN c_custkey % 59 = 0 THEN NULL ELSE concat('H', CAST(c_custkey AS STRING)) END AS holder_id,
+ concat('P', CAST(c_custkey AS STRING)) AS policy_id,
+ CASE WHEN c_custkey % 61 = 0 THEN NULL ELSE c_name END AS full_name,
+ CASE WHEN r.d > 7 THEN concat(CAST(c_custkey AS STRING), ' Elm St')
+  WHEN (c_custkey + r.d) % 5 = 0 THEN concat(CAST(c_custkey AS STRING), ' Oak St')
+  ELSE concat(CAST(c_custkey AS STRING), ' Main St') END AS address,
+ n_name AS city, CASE WHEN c_custkey % 11 = 0 AND (r.d - 1) % 7 >= 3 THEN 'NY' WHEN c_custkey % 2 = 0 THEN 'TX' ELSE 'CA' END AS state,
+ CASE WHEN c_custkey % 53 = 0 THEN NULL ELSE CAST(70000 + c_custkey % 29999 AS STRING) END AS zip,
+ concat('2026-02-0', CAST(1 + (r.d - 1) % 7 AS STRING)) AS runDate
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey <both weeks>
+WHERE (r.d <= 7 OR c_custkey % 37 = 0) AND NOT (c_custkey + (r.d - 1) % 7) % 6 = 0
+"""
+
 PAYMENTS = """
 SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL
   ELSE concat('PMT', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) END AS payment_id,
@@ -52,20 +68,27 @@ SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL
 FROM {lineitem}
 """
 
-TEXTS = {"policies": POLICIES, "policyholders": POLICYHOLDERS, "payments": PAYMENTS}
+TEXTS = {
+    "policies": POLICIES,
+    "policyholders": POLICYHOLDERS,
+    "policyholders_week": POLICYHOLDERS_WEEK,
+    "payments": PAYMENTS,
+}
 STAR_TABLES = ("orders", "customer", "nation", "lineitem")
 
 _DAYS_SPARK = "LATERAL VIEW explode(array(1, 2)) r AS d"
 _DAYS_ORACLE = "JOIN (SELECT 1 AS d UNION ALL SELECT 2 AS d) r ON TRUE"
+_WEEKS_SPARK = "LATERAL VIEW explode(sequence(1, 14)) r AS d"
+_WEEKS_ORACLE = "JOIN (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS d) r ON TRUE"
 
 
 def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """The entity as text, stamped with the run that loads it."""
-    text = TEXTS[entity].replace("<both days>", _DAYS_SPARK)
+    text = TEXTS[entity].replace("<both days>", _DAYS_SPARK).replace("<both weeks>", _WEEKS_SPARK)
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR_TABLES if f"{{{t}}}" in text}
     return spark.sql(text, **tables).withColumn(RUN, F.col("runDate"))
 
 
 def oracle(entity: str) -> str:
-    text = TEXTS[entity].replace("<both days>", _DAYS_ORACLE)
+    text = TEXTS[entity].replace("<both days>", _DAYS_ORACLE).replace("<both weeks>", _WEEKS_ORACLE)
     return f"SELECT *, runDate AS _runDate FROM ({text.format(**{t: t for t in STAR_TABLES})})"

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.digest import attribute_hash
-from daybook.schemas import OPEN_END
+from daybook.schemas import OPEN_END, RUN
 
 VALIDITY_COLUMNS = ("attr_hash", "effective_start_date", "effective_end_date", "is_current")
 
@@ -94,3 +94,39 @@ def scd2_apply(
     new_row = F.when(changes, packed("n"))
     rows = both.select(F.explode(F.array_compact(F.array(old_row, new_row))).alias("row")).select("row.*")
     return history.where(~F.col("is_current")).unionByName(rows)
+
+
+def history_of_days(
+    snapshots: DataFrame,
+    tracked: Sequence[str],
+    key: Sequence[str],
+    history: DataFrame | None = None,
+    *,
+    day: str = RUN,
+    allow_backdated: bool = False,
+) -> DataFrame:
+    """The history that snapshots of many days leave, in one plan: what applying them day by day would give.
+
+    ``snapshots`` holds one row per key and day. A key's rows in day order fall into islands of equal fingerprints: the
+    first row of each is a version (``lag``), which ends where the next island starts (``lead``). Days without the key
+    change nothing. With ``history``, its open versions come before all days, and its closed versions are passed through.
+    Both windows share one shuffle by key, in which a key brings no more than its own days. As in :func:`scd2_apply`, a
+    version that would end before it starts raises an error unless ``allow_backdated``.
+    """
+    rows = as_versions(snapshots, tracked, F.col(day)).withColumn("_stored", F.lit(False))
+    if history is not None:
+        columns = history.columns
+        stored = current_versions(history).withColumn("_stored", F.lit(True))
+        rows = stored.unionByName(rows.select(*columns, "_stored"))
+    in_order = Window.partitionBy(*key).orderBy(F.col("_stored").desc(), "effective_start_date")
+    before = F.lag("attr_hash").over(in_order)
+    starts = rows.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("_before") != F.col("attr_hash")))
+    end = F.col("_end")
+    if not allow_backdated:
+        message = F.concat(F.lit("back-dated run: a version starting "), F.col("effective_start_date"), F.lit(" exists"))
+        end = F.when(F.col("effective_start_date") > end, F.raise_error(message)).otherwise(end)
+    versions = starts.withColumn("_end", F.lead("effective_start_date").over(in_order)).withColumns(
+        {"effective_end_date": F.coalesce(end, F.lit(OPEN_END)), "is_current": F.col("_end").isNull()}
+    )
+    versions = versions.drop("_stored", "_before", "_end")
+    return versions if history is None else history.where(~F.col("is_current")).unionByName(versions.select(*columns))

@@ -146,49 +146,47 @@ class RuleSet:
         return Split(self.valid(df), self.rejects(df, undecided=undecided))
 
 
-def _rules(prefix: str, kind: str, *rules: Rule) -> RuleSet:
-    failed = f"{prefix}_{kind}_FAILED"
-    return RuleSet(failed, rules, failed.removesuffix("FAILED") + "UNKNOWN")
-
+# Records that do not have the header's number of fields.
+MALFORMED_REASON = {
+    "policies": "POLICY_MALFORMED_RECORD",
+    "policyholders": "POLICYHOLDER_MALFORMED_RECORD",
+    "payments": "PAYMENT_MALFORMED_RECORD",
+}
 
-# Raw text rules: keys are there and values read as their types.
+# The reasons below, as they stand in quarantine. Raw text rules: keys are there, values read as their types.
 BRONZE_RULES = {
-    "policies": _rules(
-        "POLICY",
-        "BASIC_VALIDATION",
-        Present("policy_id"),
-        Readable("effective_date", "date"),
-        Number("written_premium", 0.0, text=True),
+    "policies": RuleSet(
+        "POLICY_BASIC_VALIDATION_FAILED",
+        (Present("policy_id"), Readable("effective_date", "date"), Number("written_premium", 0.0, text=True)),
+        "POLICY_BASIC_VALIDATION_UNKNOWN",
+    ),
+    "policyholders": RuleSet(
+        "POLICYHOLDER_BASIC_VALIDATION_FAILED",
+        (Present("holder_id"), Present("policy_id")),
+        "POLICYHOLDER_BASIC_VALIDATION_UNKNOWN",
     ),
-    "policyholders": _rules("POLICYHOLDER", "BASIC_VALIDATION", Present("holder_id"), Present("policy_id")),
-    "payments": _rules(
-        "PAYMENT",
-        "BASIC_VALIDATION",
-        Present("payment_id"),
-        Readable("payment_date", "date"),
-        Number("amount", 0.0, exclusive=True, text=True),
+    "payments": RuleSet(
+        "PAYMENT_BASIC_VALIDATION_FAILED",
+        (Present("payment_id"), Readable("payment_date", "date"), Number("amount", 0.0, exclusive=True, text=True)),
+        "PAYMENT_BASIC_VALIDATION_UNKNOWN",
     ),
 }
 
 # Business rules on typed rows, stricter than the raw ones.
 SILVER_RULES = {
-    "policies": _rules(
-        "POLICY",
-        "SILVER_RULES",
-        Present("policy_id"),
-        Present("effective_date"),
-        Number("written_premium", 0.0, exclusive=True),
-        HasLength("state", 2),
+    "policies": RuleSet(
+        "POLICY_SILVER_RULES_FAILED",
+        (Present("policy_id"), Present("effective_date"), Number("written_premium", 0.0, exclusive=True), HasLength("state", 2)),
+        "POLICY_SILVER_RULES_UNKNOWN",
     ),
-    "policyholders": _rules(
-        "POLICYHOLDER", "SILVER_RULES", Present("holder_id"), Present("policy_id"), Present("full_name")
+    "policyholders": RuleSet(
+        "POLICYHOLDER_SILVER_RULES_FAILED",
+        (Present("holder_id"), Present("policy_id"), Present("full_name")),
+        "POLICYHOLDER_SILVER_RULES_UNKNOWN",
     ),
-    "payments": _rules(
-        "PAYMENT",
-        "SILVER_RULES",
-        Present("payment_id"),
-        Present("policy_id"),
-        Present("payment_date"),
-        Number("amount", 0.0, exclusive=True),
+    "payments": RuleSet(
+        "PAYMENT_SILVER_RULES_FAILED",
+        (Present("payment_id"), Present("policy_id"), Present("payment_date"), Number("amount", 0.0, exclusive=True)),
+        "PAYMENT_SILVER_RULES_UNKNOWN",
     ),
 }

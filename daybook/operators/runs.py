@@ -11,8 +11,10 @@ from daybook.functions.typing import as_typed
 from daybook.operators.rules import RuleSet
 from daybook.schemas import ALERT, RUN, Entity, struct
 
+# The two states of a step, and the layers of a run in order.
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
+LAYERS = ("raw", "bronze", "silver", "history", "gold")
 
 
 def layer_counts(raw: DataFrame, bronze: RuleSet, silver: RuleSet, entity: Entity) -> DataFrame:
@@ -51,17 +53,13 @@ def recent(log: DataFrame, k: int, *order: Column) -> DataFrame:
     return log.orderBy(*order).limit(k)
 
 
-def run_status(log: DataFrame, environment: str = "dev", export_csv: str = "") -> DataFrame:
+def run_status(log: DataFrame, environment: str = "dev", export_csv: str = "", attempt: str | None = None) -> DataFrame:
     """One alert record per run: Failure if any step failed, with the first failed step and its message.
 
-    The log is append-only, so a step counts with its latest row: a rerun that succeeds clears an earlier failure.
+    A step counts with its latest row: a rerun that succeeds clears an earlier failure. ``attempt`` becomes a part of the
+    run id.
     """
-    step = ("pipeline_name", "runDate", "layer", "entity")
-    latest = log.groupBy(*step).agg(
-        F.max_by(F.struct("status", "message"), "ended_at").alias("last"),
-        F.min("started_at").alias("started_at"),
-        F.max("ended_at").alias("ended_at"),
-    )
+    latest = latest_steps(log, "pipeline_name")
     failed = F.col("last.status") != SUCCESS
     runs = latest.groupBy("pipeline_name", "runDate").agg(
         F.bool_or(failed).alias("failed"),
@@ -72,7 +70,7 @@ def run_status(log: DataFrame, environment: str = "dev", export_csv: str = "") -
         F.when(F.col("failed"), "Failure").otherwise("Success").alias("status"),
         F.lit(environment).alias("environment"),
         F.col("pipeline_name").alias("pipelineName"),
-        F.concat_ws("-", "pipeline_name", "runDate").alias("runId"),
+        F.concat_ws("-", "pipeline_name", "runDate", F.lit(attempt)).alias("runId"),
         F.date_format(F.to_utc_timestamp("started_at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
         .alias("triggerTimeUtc"),
         F.col("runDate"),
@@ -83,15 +81,44 @@ def run_status(log: DataFrame, environment: str = "dev", export_csv: str = "") -
     ).select(*struct(ALERT).names)
 
 
-def completed_runs(log: DataFrame, layer: str, required: Sequence[str]) -> DataFrame:
-    """Run dates where every required step of the layer, and every other one that was tried, has a success row."""
-    per_step = log.where(F.col("layer") == layer).groupBy("runDate", "entity").agg(
-        F.bool_or(F.col("status") == SUCCESS).alias("done")
+def latest_steps(log: DataFrame, *by: str) -> DataFrame:
+    """Each step's latest row: the log is append-only, and a step counts with its last attempt.
+
+    Columns ``by`` (beside run date, layer and entity), ``last`` (status and message), ``started_at``, ``ended_at`` (of the
+    latest row).
+    """
+    return log.groupBy(*by, "runDate", "layer", "entity").agg(
+        F.max_by(F.struct("status", "message"), "ended_at").alias("last"),
+        F.min("started_at").alias("started_at"),
+        F.max("ended_at").alias("ended_at"),
     )
-    per_run = per_step.groupBy("runDate").agg(
-        F.bool_and("done").alias("all_done"), F.count_if(F.col("entity").isin(*required)).alias("n_required")
+
+
+def completed_runs(log: DataFrame, layer: str, required: Sequence[str]) -> DataFrame:
+    """Run dates whose latest attempt came through: every step up to ``layer`` has succeeded last, all required steps of
+    ``layer`` are there, and none of them is older than a step of a layer before.
+
+    So a rerun that failed, or stopped without a word, makes its date pending again.
+    """
+    rank = F.array_position(F.array(*map(F.lit, LAYERS)), F.col("layer"))
+    steps = latest_steps(log).where((rank > 0) & (rank <= LAYERS.index(layer) + 1))
+    own = F.col("layer") == layer
+    wanted = own & F.col("entity").isin(*required)
+    per_run = steps.groupBy("runDate").agg(
+        F.bool_and(F.col("last.status") == SUCCESS).alias("all_done"),
+        F.count_if(wanted).alias("n_required"),
+        F.min(F.when(wanted, F.col("ended_at"))).alias("own_from"),
+        F.max(F.when(~own, F.col("ended_at"))).alias("before_to"),
     )
-    return per_run.where(F.col("all_done") & (F.col("n_required") == len(set(required)))).select("runDate")
+    in_order = F.col("before_to").isNull() | (F.col("own_from") >= F.col("before_to"))
+    return per_run.where(F.col("all_done") & (F.col("n_required") == len(set(required))) & in_order).select("runDate")
+
+
+def mark(log: DataFrame, first: Column, today: Column, layer: str, required: Sequence[str]) -> DataFrame:
+    """One row, ``mark``: the last date up to ``today`` before the first gap since ``first``; the day before ``first`` if
+    that one is not completed."""
+    pending = run_plan(log, F.date_sub(first, 1), today, layer, required)
+    return pending.agg(F.coalesce(F.date_sub(F.min("runDate").cast("date"), 1), today).cast("string").alias("mark"))
 
 
 def run_plan(log: DataFrame, last: Column, today: Column, layer: str, required: Sequence[str]) -> DataFrame:

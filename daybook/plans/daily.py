@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F
 
-from daybook.operators.runs import completed_runs, run_plan
+from daybook.operators.runs import SUCCESS, mark, run_plan
 from daybook.plans.bronze import load_bronze
 from daybook.plans.counts import Counts
 from daybook.plans.gold import AGGREGATES, export_gold, load_gold
@@ -39,20 +39,27 @@ def run_day(
     from_landing: bool = False,
     bronze_mode: str = "replace",
     environment: str = "dev",
-    keep_newer: bool = False,
+    keep_newer: bool | None = None,
     allow_backdated: bool = False,
 ) -> None:
     """Raw to bronze, silver, history and gold for one run date, in order; safe to repeat.
 
-    Every step logs its counts; the first failure stops the rest. The alert record is written on success and on failure.
-    ``keep_newer`` is for a date older than one already run: clean rows that a later run wrote stay as they are.
+    Every step logs its counts; the first failure stops the rest. The alert record of the attempt is written on success
+    and on failure. A date older than one whose clean rows are loaded comes late: it fills in what is missing, and clean
+    rows that a later run wrote stay as they are; ``keep_newer=False`` overwrites them, as a plain merge does.
     """
     run_date = checked_run_date(run_date)
     export = is_true(export_csv)
+    began = datetime.now(timezone.utc)
+    if keep_newer is None:
+        keep_newer = is_late(lake, run_date)
 
     def step(layer: str, entity: str, work: Callable[..., Counts], *args, **options) -> None:
         logged(lake, layer, entity, run_date, lambda: work(lake, *args, **options))
 
+    def alert() -> None:
+        write_run_alert(lake, run_date, environment, "true" if export else "false", since=began)
+
     try:
         if from_landing:
             for name in ENTITIES:
@@ -67,8 +74,19 @@ def run_day(
         if export:
             for aggregate in AGGREGATES:
                 step("gold", f"{aggregate.export_name}_csv", export_gold, aggregate, run_date)
-    finally:
-        write_run_alert(lake, run_date, environment, "true" if export else "false")
+    except Exception as error:
+        try:
+            alert()
+        except Exception as second:
+            error.add_note(f"the alert record could not be written: {second}")
+        raise
+    alert()
+
+
+def is_late(lake: Lake, run_date: str) -> bool:
+    """Whether clean rows of a later run date have been loaded."""
+    later = (F.col("layer") == "silver") & (F.col("status") == SUCCESS) & (F.col("runDate") > run_date)
+    return not lake.read(LOG_TABLE).where(later).isEmpty()
 
 
 def pending_runs(lake: Lake, last: str, today: str | None = None) -> list[str]:
@@ -79,21 +97,19 @@ def pending_runs(lake: Lake, last: str, today: str | None = None) -> list[str]:
     return [r["runDate"] for r in run_plan(lake.read(LOG_TABLE), start, end, "gold", steps).collect()]
 
 
-def latest_completed(lake: Lake) -> str | None:
-    """The newest completed run date, if any."""
+def completed_mark(lake: Lake, first: str, today: str | None = None) -> str:
+    """The last run date before the first gap since ``first``: up to there every date is completed."""
+    start, end = (F.lit(checked_run_date(d)).cast("date") for d in (first, today or date.today().isoformat()))
     steps = [a.export_name for a in AGGREGATES]
-    return completed_runs(lake.read(LOG_TABLE), "gold", steps).agg(F.max("runDate").alias("last")).first()["last"]
+    return mark(lake.read(LOG_TABLE), start, end, "gold", steps).first()["mark"]
 
 
 def run_range(lake: Lake, last: str, today: str | None = None, export_csv: str | bool = False, **options) -> list[str]:
     """Catch up: every pending run date, oldest first. The run log is the mark, so a crash resumes where it stopped.
 
-    A date older than a completed one comes late: it fills in what is missing and leaves rows of later runs alone, unless
-    ``keep_newer`` is given.
+    A date older than one already loaded comes late, see :func:`run_day`.
     """
     todo = pending_runs(lake, last, today)
-    newest = latest_completed(lake) if todo else None
     for run_date in todo:
-        late = newest is not None and run_date < newest
-        run_day(lake, run_date, export_csv, **{"keep_newer": late} | options)
+        run_day(lake, run_date, export_csv, **options)
     return todo

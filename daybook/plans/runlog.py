@@ -42,7 +42,13 @@ def recent_log(lake: Lake, k: int = 20) -> DataFrame:
     return recent(lake.read(LOG_TABLE), k, F.col("ended_at").desc())
 
 
-def write_run_alert(lake: Lake, run_date: str, environment: str = "dev", export_csv: str = "") -> None:
-    """Derive the run's status from the log and store it as one JSON document."""
+def write_run_alert(
+    lake: Lake, run_date: str, environment: str = "dev", export_csv: str = "", since: datetime | None = None
+) -> None:
+    """Derive the status of a run, or of its attempt ``since`` a time, from the log and store it as one JSON document."""
     log = lake.read(LOG_TABLE).where(F.col("runDate") == run_date)
-    write_alerts(run_status(log, environment, export_csv), f"{lake.base}/logs/alerts")
+    attempt = None
+    if since is not None:
+        log = log.where(F.col("started_at") >= F.lit(since))
+        attempt = since.strftime("%Y%m%dT%H%M%S%fZ")
+    write_alerts(run_status(log, environment, export_csv, attempt), f"{lake.base}/logs/alerts")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a long-running cluster session should have. Partition counts are left to AQE and to the cluster.
+# Settings a long-running cluster session should have. AQE merges shuffle partitions but never adds any, so a cluster
+# sets spark.sql.adaptive.coalescePartitions.initialPartitionNum to what its largest run needs.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -62,6 +62,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     system.delete(hadoop_path, True)
 
 
+def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, last changed first."""
+    system, hadoop_path = _file_system(spark, pattern)
+    found = [(status.getModificationTime(), status.getPath().toString()) for status in system.globStatus(hadoop_path) or []]
+    return [path for _, path in sorted(found, reverse=True)]
+
+
 def write_scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write rows once to the shared scratch folder; the rows as read from there, and their path.
 
@@ -85,31 +92,3 @@ def session_setting(spark: SparkSession, key: str, value: str):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
-
-
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-# Bytes of compressed files; the rows they hold take several times that in a shuffle.
-BYTES_PER_SHUFFLE_TASK = 64 * 1024 * 1024
-# Spark reports an absurd size for rows whose size it cannot know; leave the setting alone then.
-UNKNOWN_SIZE = 2**60
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own estimate: file sizes after partition pruning, scaled by the columns kept. No job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-@contextmanager
-def shuffles_sized_for(*inputs: DataFrame):
-    """Raise the number of shuffle partitions, for the actions in the block, to what the inputs need.
-
-    AQE merges partitions that turn out small but never adds any, so a fixed number makes tasks of a big run spill.
-    """
-    spark = inputs[0].sparkSession
-    size = sum(estimated_bytes(df) for df in inputs)
-    needed = math.ceil(size / BYTES_PER_SHUFFLE_TASK)
-    if size >= UNKNOWN_SIZE or needed <= int(spark.conf.get(SHUFFLE_PARTITIONS)):
-        yield
-        return
-    with session_setting(spark, SHUFFLE_PARTITIONS, str(needed)):
-        yield

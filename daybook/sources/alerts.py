@@ -1,4 +1,4 @@
-"""Alert records: one JSON document per run."""
+"""Alert records: one JSON document per attempt of a run."""
 
 from __future__ import annotations
 
@@ -9,13 +9,14 @@ from daybook.schemas import ALERT, struct
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Write records under ``pipeline=<name>/run=<date>/``; a later record of the same run replaces the earlier one.
+    """Write records under ``pipeline=<name>/run=<date>/id=<run id>/``; only a record of the same run id is replaced.
 
     All ten fields stay in the document itself.
     """
-    placed = alerts.select(*struct(ALERT).names, F.col("pipelineName").alias("pipeline"), F.col("runDate").alias("run"))
+    places = {"pipeline": "pipelineName", "run": "runDate", "id": "runId"}
+    placed = alerts.select(*struct(ALERT).names, *[F.col(column).alias(place) for place, column in places.items()])
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("pipeline", "run").option("ignoreNullFields", "false").json(path)
+    writer.partitionBy(*places).option("ignoreNullFields", "false").json(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

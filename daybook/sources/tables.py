@@ -1,21 +1,26 @@
 """Lake tables: external Parquet tables in the session catalog, replaced by partition.
 
 Spark refuses ``MERGE`` and ``DELETE`` on Parquet tables, so the only mutations here are append, replace one partition,
-replace the partitions present in a result, and clear. Each is one Spark write job; tasks may be retried freely.
+replace the partitions present in a result, and clear. A replacement is written whole into a folder of its own,
+``<table>/w=<id>/<partition>=<value>``; then the catalog entry of the partition is pointed at it, and only after that the
+old files go. A job that dies before the switch leaves the old rows as they were; what it wrote is swept away by the next
+replacement of that partition. Tasks may be retried freely. One writer at a time is assumed, as one run follows another.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daybook.schemas import TABLES, Table
-from daybook.session import make_folder, remove_path, session_setting, write_scratch
+from daybook.session import make_folder, matching_folders, remove_path, session_setting, write_scratch
 from daybook.sources.drops import drop_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -30,6 +35,13 @@ def checked_run_date(value: str) -> str:
     return value
 
 
+def checked_partition(value: str) -> str:
+    """A partition value that can stand in a path and in SQL as it is: dates and plain names."""
+    if not re.fullmatch(r"[A-Za-z0-9_.\-]+", value or ""):
+        raise ValueError(f"not a plain partition value: {value!r}")
+    return value
+
+
 class Lake:
     """All zones under one base folder, and the tables of one database."""
 
@@ -53,6 +65,9 @@ class Lake:
     def export_path(self, run_date: str, name: str) -> str:
         return f"{self.base}/gold_csv_exports/runDate={run_date}/{name}"
 
+    def malformed_path(self, entity: str, run_date: str) -> str:
+        return f"{self.base}/rejects/malformed/{entity}/runDate={run_date}"
+
     # Definition
 
     def create(self, tables: Iterable[str] = tuple(TABLES)) -> Lake:
@@ -63,7 +78,8 @@ class Lake:
                 found = not make_folder(self.spark, self.table_path(table.name))
                 self.spark.sql(self.ddl(table))
                 if found and table.partition:
-                    self.spark.sql(f"MSCK REPAIR TABLE {self.name(table.name)}")
+                    for value, folder in self.folders(table.name).items():
+                        self._point(table.name, value, folder)
         return self
 
     def ddl(self, table: Table) -> str:
@@ -89,10 +105,28 @@ class Lake:
         """The table with its columns in the documented order."""
         return self.spark.table(self.name(table)).select(*TABLES[table].columns)
 
+    def folders(self, table: str) -> dict[str, str]:
+        """Where each partition's rows lie, found on storage alone.
+
+        Should a crash have left two folders of one partition, the last one written counts; each holds a whole state.
+        """
+        leaf, found = f"{TABLES[table].partition}=*", {}
+        for path in matching_folders(self.spark, f"{self.table_path(table)}/{{{leaf},w=*/{leaf}}}"):
+            found.setdefault(path.rsplit("=", 1)[1], path)
+        return dict(sorted(found.items()))
+
     def read_files(self, table: str) -> DataFrame:
         """The same rows straight from storage, for a reader without the catalog."""
         spec = TABLES[table]
-        return self.spark.read.schema(spec.schema).parquet(self.table_path(table)).select(*spec.columns)
+        if not spec.partition:
+            return self.spark.read.schema(spec.schema).parquet(self.table_path(table)).select(*spec.columns)
+        paths = list(self.folders(table).values())
+        if not paths:
+            return self._no_rows(table)
+        stored = StructType([f for f in spec.schema if f.name != spec.partition])
+        value = F.regexp_extract("_metadata.file_path", f"/{spec.partition}=([^/]+)/[^/]+$", 1)
+        rows = self.spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(*paths)
+        return rows.withColumn(spec.partition, F.when(value != "", value)).select(*spec.columns)
 
     def read_run(self, table: str, run_date: str) -> DataFrame:
         """One partition of a table that is stored by run: the filter prunes all other folders."""
@@ -109,32 +143,71 @@ class Lake:
         df.write.mode("append").format("parquet").saveAsTable(self.name(table))
 
     def replace_partition(self, table: str, df: DataFrame, value: str) -> None:
-        """Replace one partition by ``df``, also when ``df`` is empty. ``df`` must not read that table."""
+        """Replace one partition by ``df``, also when ``df`` is empty or computed from the same table."""
         spec = TABLES[table]
-        columns = ", ".join(f"`{c}`" for c in spec.storage_columns[:-1])
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION (`{spec.partition}` = '{value}') "
-            f"SELECT {columns} FROM {{rows}}",
-            rows=df,
-        )
-
-    def overwrite_partitions(self, table: str, df: DataFrame) -> None:
-        """Replace exactly the partitions that occur in ``df``, which may be computed from the same table."""
-        with session_setting(self.spark, OVERWRITE_MODE, "dynamic"):
-            df.select(*TABLES[table].storage_columns).write.insertInto(self.name(table), overwrite=True)
+        folder = f"{self._fresh(table)}/{spec.partition}={checked_partition(value)}"
+        self._typed(table, df).drop(spec.partition).write.parquet(folder)
+        self._switch(table, {value: folder})
+
+    def overwrite_partitions(self, table: str, df: DataFrame, first: str | None = None) -> None:
+        """Replace exactly the partitions that occur in ``df``, which may be computed from the same table.
+
+        All of them are written before the first is switched; partition ``first`` is switched before the others.
+        """
+        spec, fresh = TABLES[table], self._fresh(table)
+        self._typed(table, df).write.partitionBy(spec.partition).parquet(fresh)
+        # One row per partition: what a run touches.
+        written = self.spark.read.schema(spec.schema).parquet(fresh).select(spec.partition).distinct().collect()
+        values = sorted((r[0] for r in written), key=lambda v: (v != first, v))
+        self._switch(table, {v: f"{fresh}/{spec.partition}={checked_partition(v)}" for v in values})
 
     def clear_partition(self, table: str, value: str) -> None:
-        """Delete one partition: its rows and its entry in the catalog."""
+        """Delete one partition: its entry in the catalog, then its files."""
         partition = TABLES[table].partition
-        self.replace_partition(table, self._no_rows(table), value)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{partition}` = '{value}')")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{partition}` = '{checked_partition(value)}')")
+        self._sweep(table, value, keep=None)
 
     def clear(self, table: str) -> None:
         """Delete all rows. ``TRUNCATE`` is refused on external tables, an empty full overwrite is not."""
+        if TABLES[table].partition:
+            for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect():
+                self.clear_partition(table, row[0].split("=", 1)[1])
+            return
         with session_setting(self.spark, OVERWRITE_MODE, "static"):
             empty = self._no_rows(table).select(*TABLES[table].storage_columns)
             empty.write.insertInto(self.name(table), overwrite=True)
 
+    def _fresh(self, table: str) -> str:
+        return f"{self.table_path(table)}/w={uuid.uuid4().hex}"
+
+    def _typed(self, table: str, df: DataFrame) -> DataFrame:
+        """The table's columns with its types, as an insert would cast them."""
+        types = {f.name: f.dataType for f in TABLES[table].schema}
+        return df.select(*[F.col(c).cast(types[c]).alias(c) for c in TABLES[table].storage_columns])
+
+    def _point(self, table: str, value: str, folder: str) -> None:
+        place = f"PARTITION (`{TABLES[table].partition}` = '{checked_partition(value)}')"
+        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS {place} LOCATION '{folder}'")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} {place} SET LOCATION '{folder}'")
+
+    def _switch(self, table: str, folders: dict[str, str]) -> None:
+        """Point the catalog at new folders, then delete what the partitions had before."""
+        for value, folder in folders.items():
+            self._point(table, value, folder)
+        for value, folder in folders.items():
+            self._sweep(table, value, keep=folder)
+
+    def _sweep(self, table: str, value: str, keep: str | None) -> None:
+        """Delete a partition's folders but one, among them what a writer that died has left."""
+        base, leaf = self.table_path(table), f"{TABLES[table].partition}={value}"
+        for path in matching_folders(self.spark, f"{base}/{{{leaf},w=*/{leaf}}}"):
+            above = path.rsplit("/", 2)[1]
+            if keep is not None and path.endswith(keep.removeprefix(base)):
+                continue
+            remove_path(self.spark, path)
+            if above.startswith("w=") and not matching_folders(self.spark, f"{base}/{above}/*=*"):
+                remove_path(self.spark, f"{base}/{above}")
+
     def _no_rows(self, table: str) -> DataFrame:
         return self.spark.createDataFrame([], TABLES[table].schema)
 

@@ -2,20 +2,21 @@
 
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.catalogue import oracle
 from daybook.catalogue.views import raw
-from daybook.plans.bronze import load_bronze
-from daybook.plans.daily import is_true, pending_runs, run_day, run_range
+from daybook.plans.bronze import load_bronze, read_malformed
+from daybook.plans.daily import completed_mark, is_true, pending_runs, run_day, run_range
 from daybook.plans.gold import AGGREGATES, full_refresh
-from daybook.plans.history import load_history
+from daybook.plans.history import load_history, load_history_days
 from daybook.plans.runlog import recent_log
 from daybook.schemas import ENTITIES, HISTORY_TABLE, LOG_TABLE, RUN, TABLES
 from daybook.sources.alerts import read_alerts
-from daybook.sources.drops import read_text, write_drop
+from daybook.sources.drops import copy_drop, read_text, write_drop
 from daybook.sources.tables import Lake
 from daybook.streaming.arrivals import follow_drops
 from tests.compare import connect, digest
@@ -136,7 +137,8 @@ def test_rerun_changes_nothing_and_empty_day_adds_nothing(done, con):
     for name, value in wanted.items():
         assert table_digest(done, name) == value, name
     alerts = [r["runDate"] for r in read_alerts(done.spark, f"{done.base}/logs/alerts").collect()]
-    assert sorted(alerts) == [*DAYS, EMPTY_DAY]
+    # One document per attempt: the first one of a date stays.
+    assert sorted(alerts) == sorted([*DAYS, DAYS[1], EMPTY_DAY])
     empty = done.read(LOG_TABLE).where(F.col("runDate") == EMPTY_DAY)
     assert {(r["status"], r["rows_read"]) for r in empty.collect()} == {("SUCCESS", 0)}
 
@@ -149,8 +151,9 @@ def test_catch_up_and_failure(spark, done):
     assert [(r["layer"], r["entity"], r["runDate"], r["rows_read"]) for r in failed] == [("bronze", "policies", "2026-02-04", 0)]
     assert "PATH_NOT_FOUND" in failed[0]["message"]
     folder = f"{done.base}/logs/alerts/pipeline=daily_batch/run=2026-02-04"
-    (name,) = [f for f in os.listdir(folder) if f.endswith(".json")]
-    with open(f"{folder}/{name}") as f:
+    (attempt,) = os.listdir(folder)
+    (name,) = [f for f in os.listdir(f"{folder}/{attempt}") if f.endswith(".json")]
+    with open(f"{folder}/{attempt}/{name}") as f:
         alert = json.loads(f.read())
     assert len(alert) == 10 and alert["status"] == "Failure" and alert["activityName"] == "bronze/policies"
     assert pending_runs(done, "2026-01-31", "2026-02-03") == []
@@ -180,6 +183,75 @@ def test_a_late_date_completes_and_leaves_newer_rows_alone(spark, tmp_path):
         assert lake.read_run(aggregate.table, DAYS[1]).count() > 0
 
 
+def test_a_late_date_run_by_hand_leaves_newer_rows_alone(spark, tmp_path):
+    base = str(tmp_path / "byhand")
+    landing(spark, base, "raw")
+    lake = Lake(spark, base, "byhand").create()
+    run_day(lake, DAYS[1])
+    before = {e.silver: sorted(lake.read_run(e.silver, DAYS[1]).collect()) for e in ENTITIES.values()}
+    run_day(lake, DAYS[0])
+    for table, rows in before.items():
+        assert sorted(lake.read_run(table, DAYS[1]).collect()) == rows
+    assert pending_runs(lake, "2026-01-31", DAYS[1]) == [] and completed_mark(lake, DAYS[0], EMPTY_DAY) == DAYS[1]
+
+
+def test_broken_records_lose_no_value_and_the_drop_is_parsed_once(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "broken"), "broken").create([e.bronze for e in ENTITIES.values()] + [e.bronze_rejects for e in ENTITIES.values()])
+    entity, day = ENTITIES["payments"], "2026-02-01"
+    lines = [
+        ",".join(entity.columns),
+        'A1,P1,1.50,2026-02-01,"ACH",2026-02-01',
+        'A2,P2,2.50,2026-02-01,"two\nlines, one value",2026-02-01',
+        "A3,P3,3.50,2026-02-01,ACH,2026-02-01,surplus,values",
+        "A4,P4,4.50",
+        "A5,P5,abc,2026-02-01,ACH,2026-02-01",
+    ]
+    folder = lake.drop_path("landing", "payments", day)
+    os.makedirs(folder)
+    with open(f"{folder}/part-0.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    for zone in ("copied", "direct"):
+        raw_folder = lake.drop_path("raw", "payments", day)
+        if zone == "copied":
+            assert copy_drop(spark, folder, raw_folder) == 5
+        else:
+            shutil.rmtree(raw_folder)
+            shutil.copytree(folder, raw_folder)
+        # The drop is gone once the first table is written: whatever follows reads the rows parsed before.
+        replace = lake.replace_partition
+
+        def then_gone(*args, **kwargs):
+            shutil.rmtree(raw_folder, ignore_errors=True)
+            replace(*args, **kwargs)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(lake, "replace_partition", then_gone)
+            assert load_bronze(lake, entity, day) == (5, 2, 3)
+        os.makedirs(raw_folder, exist_ok=True)
+        valid = {r["payment_id"]: (r["amount"], r["method"]) for r in lake.read_run(entity.bronze, day).collect()}
+        assert valid == {"A1": (1.5, "ACH"), "A2": (2.5, "two\nlines, one value")}
+        reasons = sorted(r["reject_reason"] for r in lake.read_run(entity.bronze_rejects, day).collect())
+        assert reasons == ["PAYMENT_BASIC_VALIDATION_FAILED", "PAYMENT_MALFORMED_RECORD", "PAYMENT_MALFORMED_RECORD"]
+        records = {r["record"].strip() for r in read_malformed(lake, entity, day).collect()}
+        assert records == set(lines[3:5])
+    # A clean drop leaves nothing of them behind.
+    with open(f"{raw_folder}/part-0.csv", "w") as f:
+        f.write("\n".join(lines[:2]) + "\n")
+    assert load_bronze(lake, entity, day) == (1, 1, 0)
+    assert lake.read_run(entity.bronze_rejects, day).count() == 0
+    assert not os.path.exists(lake.malformed_path("payments", day))
+
+
+def test_days_applied_together_equal_days_applied_one_by_one(spark, done, tmp_path):
+    one, many = (Lake(spark, str(tmp_path / n), f"days_{n}").create([HISTORY_TABLE, "bronze_policyholders"]) for n in ("one", "many"))
+    many.append("bronze_policyholders", done.read("bronze_policyholders"))
+    for day in DAYS:
+        load_history(one, day, done.read_run("bronze_policyholders", day).where("full_name IS NOT NULL"))
+    for dates in (DAYS, DAYS[1:]):
+        load_history_days(many, dates)
+        assert table_digest(many, HISTORY_TABLE) == table_digest(one, HISTORY_TABLE)
+
+
 def test_append_mode_adds_rows_again(done):
     entity = ENTITIES["payments"]
     before = done.read_run(entity.bronze, DAYS[0]).count(), done.read_run(entity.bronze_rejects, DAYS[0]).count()

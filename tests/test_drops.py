@@ -74,11 +74,11 @@ def part_files(path):
     return [f for f in os.listdir(path) if f.startswith("part-")]
 
 
-def test_snapshot_is_one_file_within_the_bound_and_whole_beyond_it(spark, tmp_path):
+def test_snapshot_is_one_file_or_as_many_as_tasks(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    write_csv(df, str(tmp_path / "one"), single_file_rows=100)
+    write_csv(df, str(tmp_path / "one"), one_file=True)
     assert len(part_files(tmp_path / "one")) == 1
-    write_csv(df, str(tmp_path / "many"), single_file_rows=99)
+    write_csv(df, str(tmp_path / "many"))
     assert len(part_files(tmp_path / "many")) == 4
     for name in ("one", "many"):
         assert sorted(int(r["id"]) for r in read_text(spark, str(tmp_path / name)).collect()) == list(range(100))

@@ -6,7 +6,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.operators.history import as_versions, changed_versions, current_versions, expired_versions, scd2_apply
+from daybook.operators.history import (
+    as_versions,
+    changed_versions,
+    current_versions,
+    expired_versions,
+    history_of_days,
+    scd2_apply,
+)
 
 KEY = ("h", "p")
 COLUMNS = "h string, p string, a string, b string"
@@ -114,3 +121,38 @@ def test_backdated_change_raises_unless_allowed(spark):
 def test_hash_formula(spark):
     row = versions(spark, [("H1", "P1", "A", None)], "2026-02-01").first()
     assert row["attr_hash"] == hashlib.sha256(b"A||").hexdigest()
+
+
+def test_all_days_in_one_plan_match_the_daily_steps(spark):
+    """Random days with absences and changes back and forth; a hot key changes on every day."""
+    rng = random.Random(8)
+    days, rows = [], []
+    for d in range(1, 10):
+        day = f"2026-02-0{d}"
+        keys = {(f"H{rng.randrange(8)}", f"P{rng.randrange(3)}") for _ in range(14)}
+        today = [(h, p, rng.choice(["x", "y", None]), rng.choice(["1", ""])) for h, p in keys] + [("hot", "P", str(d), None)]
+        days.append((day, today))
+        rows += [(*r, day) for r in today]
+    snapshots = spark.createDataFrame(rows, f"{COLUMNS}, _runDate string").repartition(4)
+    whole = history_of_days(snapshots, ("a", "b"), KEY)
+    assert state(whole) == simulate(days) == state(apply_all(spark, days))
+    # Some days stored, the others added in one plan.
+    stored = apply_all(spark, days[:4]).withColumn("_runDate", F.lit("x"))
+    added = history_of_days(snapshots.where("_runDate > '2026-02-04'"), ("a", "b"), KEY, stored)
+    assert state(added) == simulate(days)
+    # Applying the last day again changes nothing, an earlier one is refused.
+    again = history_of_days(snapshots.where("_runDate = '2026-02-09'"), ("a", "b"), KEY, added)
+    assert state(again) == simulate(days)
+    late = snapshots.where("_runDate = '2026-02-01'")
+    with pytest.raises(Exception, match="back-dated"):
+        history_of_days(late, ("a", "b"), KEY, added).collect()
+    assert state(history_of_days(late, ("a", "b"), KEY, added, allow_backdated=True)) == state(
+        scd2_apply(added, as_versions(late, ("a", "b"), F.col("_runDate")).select(*added.columns), KEY, allow_backdated=True)
+    )
+
+
+def test_all_days_share_one_shuffle(spark, tmp_path):
+    spark.createDataFrame([("H", "P", "a", "b", "2026-02-01")], f"{COLUMNS}, _runDate string").write.parquet(str(tmp_path / "s"))
+    snapshots = spark.read.parquet(str(tmp_path / "s"))
+    text = history_of_days(snapshots, ("a", "b"), KEY)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1

@@ -18,6 +18,11 @@ def test_exact_and_independent_of_order(spark):
         rng.shuffle(values)
         assert total(spark, values) == cents / 100
     assert total(spark, [10.005, 10.005]) == 20.01
+    # All digits count, below six fraction digits too.
+    assert total(spark, [1e-7] * 10) == 1e-6
+    assert total(spark, [0.1234567891234] * 2 + [1e15]) == 1e15 + 0.2469135782468
+    assert total(spark, [1e-30, 1.0, 2.0]) == 3.0
+    assert total(spark, [9e17] * 400) == 3.6e20
 
 
 def test_values_a_decimal_cannot_hold(spark):

@@ -6,8 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from daybook import session
-from daybook.operators.runs import completed_runs, recent, run_plan, run_status
+from daybook.operators.runs import completed_runs, mark, recent, run_plan, run_status
 from daybook.plans.merge import merge_run
 from daybook.schemas import ENTITIES, LOG_TABLE, RUN, TABLES
 from daybook.sources.tables import Lake, checked_run_date
@@ -131,21 +130,6 @@ def test_merge_can_protect_newer_rows(spark, lake):
     assert {r["payment_id"]: r["amount"] for r in lake.read(table).collect()}["a"] == 0.0
 
 
-def test_shuffles_are_sized_for_their_input(spark, tmp_path, monkeypatch):
-    spark.range(10000).write.parquet(str(tmp_path / "x"))
-    df, key = spark.read.parquet(str(tmp_path / "x")), session.SHUFFLE_PARTITIONS
-    before, size = spark.conf.get(key), session.estimated_bytes(df)
-    with session.shuffles_sized_for(df):
-        assert spark.conf.get(key) == before
-    monkeypatch.setattr(session, "BYTES_PER_SHUFFLE_TASK", size // 20)
-    with session.shuffles_sized_for(df, df):
-        assert int(spark.conf.get(key)) >= 40
-    # Rows of unknown size change nothing.
-    with session.shuffles_sized_for(df, spark.createDataFrame([(1,)], "a int")):
-        assert spark.conf.get(key) == before
-    assert spark.conf.get(key) == before
-
-
 def log(spark, *rows):
     return spark.createDataFrame(
         [("n", layer, entity, run, status, message, f"{run} 0{i}:00:00") for i, (layer, entity, run, status, message) in enumerate(rows)],
@@ -192,8 +176,97 @@ def test_run_plan(spark):
     assert plan("2026-02-03", "2026-02-03") == [] and plan("2026-02-05", "2026-02-03") == []
 
 
+def test_one_meaning_of_done(spark):
+    """The latest attempt counts, with all its layers in order."""
+
+    def done(*rows):
+        return [r["runDate"] for r in completed_runs(log(spark, *rows), "gold", ["a"]).collect()]
+
+    day = "2026-02-01"
+    whole = [(layer, "a", day, "SUCCESS", "") for layer in ("raw", "bronze", "silver", "history", "gold")]
+    assert done(*whole) == [day]
+    assert done(*whole, ("bronze", "a", day, "FAILED", "rerun")) == []
+    # A rerun that stopped without a word has steps newer than the last layer's.
+    assert done(*whole, *whole[:2]) == []
+    assert done(*whole, *whole) == [day]
+
+
+def test_mark_before_the_first_gap(spark):
+    rows = log(spark, *[("gold", "a", f"2026-02-0{d}", "SUCCESS", "") for d in (2, 3, 4, 6)])
+
+    def found(first, today):
+        return mark(rows, F.lit(first).cast("date"), F.lit(today).cast("date"), "gold", ["a"]).first()["mark"]
+
+    assert found("2026-02-02", "2026-02-08") == "2026-02-04"
+    assert found("2026-02-01", "2026-02-08") == "2026-01-31"
+    assert found("2026-02-02", "2026-02-04") == "2026-02-04"
+
+
 def test_entities_and_tables_agree():
     for entity in ENTITIES.values():
         for name in (entity.bronze, entity.bronze_rejects, entity.silver, entity.silver_rejects):
             assert set(entity.columns) <= set(TABLES[name].columns)
         assert TABLES[entity.silver].key == entity.key
+
+
+def test_a_writer_that_dies_before_the_switch_leaves_the_old_rows(spark, lake, monkeypatch):
+    table = "silver_payments"
+    merge_run(lake, table, payments(spark, {"a": 1, "b": 1, "c": 1}, "2026-02-01"), "2026-02-01")
+    before = sorted(lake.read(table).collect())
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake, "_switch", dies)
+        with pytest.raises(RuntimeError):
+            merge_run(lake, table, payments(spark, {"a": 2}, "2026-02-02"), "2026-02-02")
+        with pytest.raises(RuntimeError):
+            lake.replace_partition(table, lake.read(table).limit(0), "2026-02-01")
+    assert sorted(lake.read(table).collect()) == before
+    # Running the same day again brings the new state, and sweeps away what the dead writer left.
+    merge_run(lake, table, payments(spark, {"a": 2}, "2026-02-02"), "2026-02-02")
+    found = {r["payment_id"]: (r["amount"], r[RUN]) for r in lake.read(table).collect()}
+    assert found == {"a": (2.0, "2026-02-02"), "b": (1.0, "2026-02-01"), "c": (1.0, "2026-02-01")}
+    assert sorted(lake.read_files(table).collect()) == sorted(lake.read(table).collect())
+    assert len(lake.folders(table)) == 2
+
+
+def test_a_driver_lost_between_two_switches_loses_no_row(spark, lake, monkeypatch):
+    table = "silver_payments"
+    merge_run(lake, table, payments(spark, {"a": 1, "b": 1}, "2026-02-01"), "2026-02-01")
+    point, calls = lake._point, []
+
+    def dies_on_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost driver")
+        point(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake, "_point", dies_on_second)
+        with pytest.raises(RuntimeError):
+            merge_run(lake, table, payments(spark, {"a": 2, "c": 2}, "2026-02-02"), "2026-02-02")
+    assert {"a", "b", "c"} == {r["payment_id"] for r in lake.read(table).collect()}
+    merge_run(lake, table, payments(spark, {"a": 2, "c": 2}, "2026-02-02"), "2026-02-02")
+    assert sorted((r["payment_id"], r["amount"]) for r in lake.read(table).collect()) == [("a", 2.0), ("b", 1.0), ("c", 2.0)]
+
+
+def test_merge_with_column_lists(spark, lake):
+    table = "silver_payments"
+    merge_run(lake, table, payments(spark, {"a": 1, "b": 1}, "2026-02-01"), "2026-02-01")
+    first = {r["payment_id"]: r["_loaded_at"] for r in lake.read(table).collect()}
+    update = [c for c in TABLES[table].columns if c != "_loaded_at"]
+    merge_run(lake, table, payments(spark, {"a": 2, "c": 2}, "2026-02-02"), "2026-02-02", update=update)
+    found = {r["payment_id"]: (r["amount"], r[RUN], r["_loaded_at"]) for r in lake.read(table).collect()}
+    assert found["a"] == (2.0, "2026-02-02", first["a"]) and found["b"] == (1.0, "2026-02-01", first["b"])
+    assert found["c"][:2] == (2.0, "2026-02-02") and found["c"][2] > first["a"]
+    merge_run(lake, table, payments(spark, {"a": 3, "d": 3}, "2026-02-03"), "2026-02-03", update=["amount"], insert=["amount"])
+    a, d = (lake.read(table).where(F.col("payment_id") == k).first() for k in "ad")
+    assert (a["amount"], a["method"], a["_loaded_at"], a[RUN]) == (3.0, "ACH", first["a"], "2026-02-03")
+    assert (d["amount"], d["method"], d["_loaded_at"], d[RUN]) == (3.0, None, None, "2026-02-03")
+
+
+def test_partition_values_are_plain(lake):
+    with pytest.raises(ValueError):
+        lake.clear_partition(GOLD, "2026' OR '1'='1")
