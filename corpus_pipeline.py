@@ -2,6 +2,11 @@
 
 Each stage works on all rows of the stage before. ``run`` writes what a stage keeps to the shared folder and reads it
 again, so a lost executor costs no more than a stage.
+
+Every stage takes null or empty texts (no words: the base rules reject them), null ids (never a copy of another row),
+rows that repeat an id (rows of their own unless id and text agree; those are treated alike), ties as its operator states,
+texts of any length, and an empty table (no rows). Columns beside those of documents pass through the first four stages,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -30,12 +35,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Passages that stand in an earlier document (or earlier in the same) are cut out; n_chars follows the text."""
     rows, spans = substring_dedup.without_repeats(docs)
     n_chars = F.when(F.size(spans) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.withColumn("n_chars", n_chars).select(*docs.columns)
+    return rows.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: rows repeat up to three times, or go."""
-    return mixing.mixed(docs).select(*docs.columns)
+    return mixing.mixed(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
