@@ -7,7 +7,9 @@ there. Words of a text that the automaton does not hold are merged exactly, pair
 The lexicon only saves work: ids are the same with any lexicon. Its size is the parameter ``lexicon_words``.
 
 Ids equal those of the tokenizer file's own library without added special tokens; the strings of special tokens in a
-text become their ids, as there. Null text counts as empty: no ids. Rows keep their number; ids of rows are not read.
+text become their ids, as there. Null text counts as empty: no ids. Rows keep their number; ids of rows are not read, so
+they may repeat or be null. Long texts are encoded as others. Other columns pass through, but for those with a name that
+the result uses. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.common import passing, staged
 from daybook.llm.textvec import slices
 
 # Fixed value: how byte-level BPE splits text before merging (\s written out as the property that it stands for).
@@ -223,10 +226,24 @@ class Lexicon:
 
 
 def frequent_words(text: Column, docs: DataFrame, n: int) -> list[str]:
-    """The ``n`` most frequent runs of letters over all texts (ties by word): a top-k report of bounded size."""
+    """The most frequent runs of letters over all texts, at most ``n``: a top-k report of bounded size.
+
+    Words fall into classes by the logarithm of their count; the driver sees the number of words per class, then the
+    words of as many of the highest classes as have no more than ``n`` together.
+    """
     words = docs.select(F.explode(F.split(F.coalesce(text, F.lit("")), r"[^\p{L}]+")).alias("word"))
-    top = words.filter("word <> ''").groupBy("word").count().orderBy(F.desc("count"), "word").limit(n)
-    return [r["word"] for r in top.collect()]
+    counts = words.filter("word <> ''").groupBy("word").count().filter("count > 1")
+    with passing(docs.sparkSession):
+        counts = staged(counts.select("word", F.floor(64 * F.log2("count")).cast("int").alias("class")), "op5-words")
+        classes = sorted(((r["class"], r["count"]) for r in counts.groupBy("class").count().collect()), reverse=True)
+        total, lowest = 0, None
+        for number, size in classes:
+            if total + size > n:
+                break
+            total, lowest = total + size, number
+        if lowest is None:
+            return []
+        return sorted(r["word"] for r in counts.filter(F.col("class") >= lowest).select("word").collect())
 
 
 def ship_lexicon(spark: SparkSession, words: list[str], vocabulary_path: str) -> tuple[str, str]:
@@ -313,16 +330,20 @@ class Encoder:
 def encoded(docs: DataFrame, text: str, vocabulary_path: str, lexicon_words: int = 50_000, with_ids: bool = False) -> DataFrame:
     """``docs`` without ``text``, with n_tokens, ids_sha256 and decoded_sha256, and the ids themselves if wanted."""
     spark = docs.sparkSession
-    names = ship_lexicon(spark, frequent_words(F.col(text), docs, lexicon_words), vocabulary_path)
-    others = [f for f in docs.schema.fields if f.name != text]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + ["n_tokens long, ids_sha256 string, decoded_sha256 string"] + ["ids array<int>"] * with_ids)
+    names = ship_lexicon(spark, frequent_words(F.col(f"`{text}`"), docs, lexicon_words), vocabulary_path)
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+    others = [f for f in docs.schema.fields if f.name != text and f.name.lower() not in made]
+    kinds = ["long", "string", "string"] + ["array<int>"] * with_ids
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + [f"{c} {k}" for c, k in zip(made, kinds)])
+    # Columns go in by place, whatever their names.
+    rows = docs.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(others)], F.col(f"`{text}`").alias("text"))
 
     def run(batches):
         encoder = Encoder(Vocabulary(SparkFiles.get(names[1])), Lexicon(SparkFiles.get(names[0])))
         for batch in batches:
-            for part in slices(batch, text, 1 << 20):
-                ids = encoder.encode([t or "" for t in part.column(text).to_pylist()])
-                columns = [part.column(f.name) for f in others]
+            for part in slices(batch, "text", 1 << 20):
+                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                columns = [part.column(i) for i in range(len(others))]
                 columns += [
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
@@ -330,6 +351,6 @@ def encoded(docs: DataFrame, text: str, vocabulary_path: str, lexicon_words: int
                 ]
                 if with_ids:
                     columns.append(pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, [f.name for f in others] + ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in others] + made)
 
-    return docs.select(*[f"`{f.name}`" for f in others], text).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

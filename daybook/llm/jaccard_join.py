@@ -11,10 +11,14 @@ choice is made once per band from counts over all documents, so both sides of an
 Candidates meet in signature buckets. Equal sets are merged before (one representative each), and so are signatures that
 bring the same documents together. In a bucket, sets are compared with leaders first, each with one leader a turn; only
 sets that are still in different components afterwards are compared with each other, so a group of copies is linked by
-about one comparison per member, while no link that would join two components is left out. Every comparison is exact on the full shingle sets (64-bit shingle hashes).
+about one comparison per member, while no link that would join two components is left out. Every comparison is exact on
+the full sets of 64-bit shingle hashes.
 
 Null or empty text: no set, linked with nothing, component is the own id. Rows with a null id get a null component and
-link nothing. Repeated ids count as one document each time they occur: same component. Other columns are not read.
+link nothing. A document is a row's id and text (64 bits of a hash of both): rows that agree in both are one document, and
+rows that only share an id are documents of their own. Long texts are cut into words block by block. Ties need no rule:
+links have no order. An empty table gives no rows. Columns other than id and text are not read; the rows that
+``without_near_copies`` keeps have all their columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import passing, staged
+from daybook.llm.common import free_name, passing, staged
 from daybook.llm.graph import components
 from daybook.llm.screen import BITS, bit_table, packed, passes, repeated_bits
 from daybook.llm.textvec import distinct, mix, slices, text_bytes, windows, words
@@ -92,7 +96,7 @@ def _sketch(h: np.ndarray) -> list[int]:
 
 
 def summaries(docs: DataFrame, shingle: int) -> DataFrame:
-    """(id, n, digest, sketch) of each document's set; ``docs`` has columns id and text."""
+    """(id, real, n, digest, sketch) of each document's set; ``docs`` has columns id, text and real."""
 
     def run(batches):
         for batch in batches:
@@ -100,14 +104,15 @@ def summaries(docs: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
+                    batch.column("real"),
                     pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([r[2] for r in rows], pa.binary()),
                     pa.array([r[3] for r in rows], pa.list_(pa.int64())),
                 ],
-                ["id", "n", "digest", "sketch"],
+                ["id", "real", "n", "digest", "sketch"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, sketch array<long>")
+    return docs.mapInArrow(run, "id long, real long, n long, digest binary, sketch array<long>")
 
 
 SIGNATURES = "part long, signature long, id long, tag long"
@@ -334,29 +339,44 @@ def _components_of(docs: DataFrame, rep_of: DataFrame, info: DataFrame, shingle:
     return _linked(buckets, info, docs, shingle, num, den)
 
 
-def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(id, n, component) per row of ``docs`` (id, text): documents linked at a similarity of num/den or more."""
-    docs = docs.select(F.col("id").cast("long").alias("id"), "text")
-    docs = docs.select("id", "text", _place("id"))
-    known = staged(summaries(docs, shingle), "op8-sets")
+def _document(key: str, text: str) -> Column:
+    """What a row is known by: its id and text. Null without an id."""
+    key, text = F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")
+    return F.when(key.isNotNull(), F.xxhash64(key, text))
+
+
+def documents(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """(id, real, n, component, least) per row of ``docs`` (id, text): the document, the row's id, its set's size, its
+    component, and the component's smallest (real, id)."""
+    docs = docs.select(_document("id", "text").alias("id"), "text", F.col("id").cast("long").alias("real"))
+    docs = docs.select("id", "text", _place("id"), "real")
+    known = staged(summaries(docs, shingle), "op8-sets", keep=True)
     with_set = known.filter("id is not null and n > 0")
-    # Equal sets are one: the smallest id stands for all.
+    # Equal sets are one: some document stands for all.
     reps = with_set.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     reps = staged(reps, "op8-info")
     rep_of = staged(with_set.select("id", "digest").join(reps.select("digest", "rep"), "digest").select("id", "rep").distinct(), "op8-reps")
 
     with passing(docs.sparkSession):
         found = _components_of(docs, rep_of, reps.select("rep", "n", "sketch"), shingle, num, den)
-    if found is not None:
-        rep_of = rep_of.join(found, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
-    else:
-        rep_of = rep_of.select("id", F.col("rep").alias("component"))
-    return known.select("id", "n").join(rep_of.distinct(), "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+        found = found and staged(found, "op8-found", keep=True)
+    component = F.col("rep") if found is None else F.coalesce("component", "rep")
+    of = (rep_of if found is None else rep_of.join(found, "rep", "left")).select("id", component.alias("component"))
+    rows = staged(known.select("id", "real", "n").join(of, "id", "left"), "op8-rows", keep=True)
+    least = rows.filter("component is not null").groupBy("component").agg(F.min(F.struct("real", "id")).alias("least"))
+    return rows.join(least, "component", "left").select("id", "real", "n", "component", "least")
+
+
+def classes(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(id, n, component) per row of ``docs`` (id, text): documents linked at a similarity of num/den or more."""
+    found = documents(docs, shingle, num, den)
+    return found.select(F.col("real").alias("id"), "n", F.coalesce("least.real", "real").alias("component"))
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` but those linked with a row of a smaller id; rows without an id stay."""
-    of = classes(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), shingle, num, den)
-    # Written, so that its size is known: few ids are broadcast, and texts stay where they are.
-    gone = staged(of.filter("component < id").select(F.col("id").alias("_gone")).distinct(), "op8-gone", keep=True)
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    of = documents(docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")), shingle, num, den)
+    # Written, so that its size is known: few documents are broadcast, and texts stay where they are.
+    own = free_name(docs, "gone")
+    gone = staged(of.filter(F.col("id") != F.col("least.id")).select(F.col("id").alias(own)).distinct(), "op8-gone", keep=True)
+    return docs.join(gone, _document(key, text) == F.col(own), "left_anti")

@@ -1,21 +1,23 @@
 """Katz back-off language model: counts, discounts and back-off weights in partitioned tables, scores per document.
 
-Model. P(w | u) = d(c(u,w)) c(u,w) / c(u) for bigrams counted at least ``MIN_COUNT`` times in training, else
-alpha(u) P(w); P(w) = d(c(w)) c(w) / N for known words, and the mass left is that of the one unknown word. d is the
+Model. P(w | u) = d(c(u,w)) c(u,w) / c(u) for bigrams that occur in training, else alpha(u) P(w); P(w) = d(c(w)) c(w) / N for known words, and the mass left is that of the one unknown word. d is the
 Good-Turing discount for counts up to K and 1 beyond; alpha(u) makes the probabilities of every context sum to 1
 exactly, as does the unknown word for single words. A context (or the words themselves) that discounting leaves nothing
 to back off with keeps one part in count + 1 for it. A text is a start (context only), its words, and an end, which is a
 token.
 
-Work. Texts are read once into pieces of a few million tokens, with a local number per word, staged in the shared
-folder. Each piece sends its distinct words, then its distinct bigrams, to buckets of the hash space; a bucket counts
-all pieces' entries, keeps its part of the model table and answers each piece in the piece's own order. So a word or
-bigram is one entry per piece however often it occurs, rows are few and large, and no part of the model passes the
-driver but counts of counts. Bigrams of a word seen once cannot reach MIN_COUNT and are only tallied, not sent. The
-number of buckets grows with the entries, so a bucket stays within a task's memory.
+Work. Texts are read once into pieces of about a million tokens, with a local number per word, staged in the shared
+folder. Each piece sends its distinct words to buckets of the hash space; a bucket counts all pieces' words, numbers them
+(frequent words low) and answers each piece in the piece's own order. With these numbers each piece sends its distinct
+bigrams to buckets by context; a bucket counts them, keeps its part of the model table, and answers with counts and what
+the contexts need. A context that occurs more than ``HOT`` times is dealt out over several units by the following word,
+whose sums the piece adds up. So a word or bigram is one entry per piece however often it occurs, rows are few and large,
+no bucket holds more than its share, and no part of the model passes the driver but counts of counts. The number of
+buckets grows with the entries. Numbers of words take 32 bits.
 
 Null text is empty: its end is its only token. Rows with a null id are scored and train. Rows that repeat an id are
-documents of their own. An empty training set gives every token the unknown word's probability, 1.
+documents of their own. Long texts make a piece of their own. An empty training set gives every token the unknown word's
+probability, 1; an empty table gives no rows. Columns other than id and text are not read. Sums have no ties.
 """
 
 from __future__ import annotations
@@ -30,13 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import staged
-from daybook.llm.textvec import distinct, slices, text_bytes, words
-from daybook.session import new_scratch_path
+from daybook.llm.textvec import distinct, mix, slices, text_bytes, words
+from daybook.session import new_scratch_path, remove_path
 
-PIECE_TOKENS = 3_000_000
+PIECE_TOKENS = 1_000_000
 BUCKET_ENTRIES = 1_500_000
+HOT = 2_000_000  # occurrences of a context that one unit holds
 K = 5  # counts up to K are discounted
-MIN_COUNT = 2  # of bigrams in the model
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
@@ -108,7 +110,7 @@ def _counts_of_counts(c: np.ndarray) -> list[int]:
 
 # --- words -----------------------------------------------------------------------------------------------------------
 
-UNI = "bucket long, piece long, words binary, counts binary, stats array<long>"
+UNI = "bucket long, piece long, words binary, ids binary, counts binary, stats array<long>"
 
 
 def _word_requests(rows: DataFrame, bits: int) -> DataFrame:
@@ -127,9 +129,9 @@ def _word_requests(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("piece", "held", "sizes", "words", "tokens").mapInArrow(run, "bucket long, piece long, words binary, counts binary")
 
 
-def _word_counts(requests: DataFrame) -> DataFrame:
-    """Per bucket its words and counts (piece null, with statistics), and the counts each piece asked for."""
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+def _word_counts(requests: DataFrame, bits: int) -> DataFrame:
+    """Per bucket its words, numbers and counts (piece null, with statistics), and the numbers and counts each piece asked for."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
     names = [c.split()[0] for c in UNI.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
@@ -140,11 +142,16 @@ def _word_counts(requests: DataFrame) -> DataFrame:
         places = [np.searchsorted(known, w) for w in own]
         for p, r in zip(places, rows):
             total[p] += _unpack(r["counts"], "<i4")
+        number = np.empty(len(known), np.int64)
+        number[np.lexsort((known, -total))] = np.arange(len(known), dtype=np.int64) << bits | rows[0]["bucket"]
+        if number.max() >> 32:
+            raise OverflowError("more words than numbers of 32 bits")
+        number = number.astype("<u4")
         real = np.where(known == START, 0, total)
         stats = [int(real.sum()), int((real > 0).sum()), *_counts_of_counts(real)]
         seen = total > 0
-        out = [(rows[0]["bucket"], None, _pack(known[seen]), _pack(total[seen]), stats)]
-        out += [(r["bucket"], r["piece"], None, _pack(total[p]), None) for p, r in zip(places, rows)]
+        out = [(rows[0]["bucket"], None, _pack(known[seen]), _pack(number[seen]), _pack(total[seen]), stats)]
+        out += [(r["bucket"], r["piece"], None, _pack(number[p]), _pack(total[p]), None) for p, r in zip(places, rows)]
         return pa.Table.from_batches([_binary(out, names, kinds)])
 
     return requests.groupBy("bucket").applyInArrow(run, UNI)
@@ -152,95 +159,120 @@ def _word_counts(requests: DataFrame) -> DataFrame:
 
 # --- bigrams ---------------------------------------------------------------------------------------------------------
 
-ASK = "bucket long, piece long, first binary, fan binary, second binary, counts binary, word_counts binary, tally long"
-BI = "bucket long, piece long, first binary, fan binary, second binary, counts binary, seen binary, share binary, stats array<long>"
-
-
-def _entries(row: dict, own: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per token the local pair (context << 32 | word), whether it trains, and whether the pair can be in the model."""
-    tokens, sizes = _unpack(row["tokens"], "<i4").astype(np.int64), _unpack(row["sizes"], "<i8")
-    before = np.empty(len(tokens), np.int64)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(sizes) - sizes] = np.searchsorted(own, START)
-    can = (counts[before] >= MIN_COUNT) & (counts[tokens] >= MIN_COUNT)
-    return before << 32 | tokens, _training(row), can
-
-
-def _word_answers(row: dict, name: str = "answers") -> np.ndarray:
-    return np.concatenate([_unpack(a["counts"], "<i8") for a in sorted(row[name], key=lambda a: a["bucket"])])
+ASK = "bucket long, piece long, units binary, fan binary, second binary, counts binary, word_counts binary"
+BI = "bucket long, piece long, units binary, fan binary, second binary, counts binary, seen binary, share binary, stats array<long>"
+
+
+class Local:
+    """A piece with its words in the order of their numbers, and its pairs in the order in which they are sent."""
+
+    def __init__(self, row: dict, bits: int):
+        answers = sorted(row["answers"], key=lambda a: a["bucket"])
+        own = _unpack(row["words"], "<u8")
+        number = np.concatenate([_unpack(a["ids"], "<u4") for a in answers])
+        order = np.argsort(number)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.number = number[order].astype(np.int64)
+        self.counts = np.concatenate([_unpack(a["counts"], "<i8") for a in answers])[order]
+        self.tokens = rank[_unpack(row["tokens"], "<i4")]
+        self.sizes = _unpack(row["sizes"], "<i8")
+        before = np.empty(len(self.tokens), np.int64)
+        before[1:] = self.tokens[:-1]
+        before[np.cumsum(self.sizes) - self.sizes] = rank[np.searchsorted(own, START)]
+        self.pair = before << 32 | self.tokens
+        self.train = _training(row)
+        # Training has both words; other pairs cannot be in the model.
+        self.can = (self.counts[before] > 0) & (self.counts[self.tokens] > 0)
+        self.ask = distinct(self.pair[self.can])
+        self._deal(bits)
+
+    def _deal(self, bits: int) -> None:
+        """Units are contexts, hot ones in several parts; all parts of a context are asked for."""
+        context, word = self.ask >> 32, self.ask & 0xFFFFFFFF
+        parts = -(-self.counts // HOT)
+        of_word = mix(self.number[word].astype(np.uint64)).astype(np.int64) & 0x7FFFFFFF
+        unit = context << 32 | of_word % np.maximum(parts[context], 1)
+        hot = distinct(context[parts[context] > 1])
+        each = parts[hot]
+        all_parts = np.repeat(hot << 32, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        units = distinct(np.concatenate([unit, all_parts]))
+        key = self.number[units >> 32] << 32 | (units & 0xFFFFFFFF)
+        bucket = (mix(key.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(units), np.int64)
+        order = np.lexsort((units, bucket))
+        place = np.empty(len(units), np.int64)
+        place[order] = np.arange(len(units))
+        at = place[np.searchsorted(units, unit)]
+        self.units, self.keys, self.buckets = units[order], key[order], bucket[order]
+        self.order = np.argsort(at, kind="stable")  # of ``ask``, as sent
+        self.fan = np.bincount(at, minlength=len(units))
 
 
 def _bigram_requests(rows: DataFrame, bits: int) -> DataFrame:
-    names, kinds = [c.split()[0] for c in ASK.split(", ")], [pa.int64()] * 2 + [pa.binary()] * 5 + [pa.int64()]
+    names, kinds = [c.split()[0] for c in ASK.split(", ")], [pa.int64()] * 2 + [pa.binary()] * 5
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                own, counts = _unpack(row["words"], "<u8"), _word_answers(row)
-                pair, train, can = _entries(row, own, counts)
-                # A pair with a word counted once is counted once at most, here or nowhere.
-                tally = len(distinct(pair[~can & train]))
-                yield _binary([(row["piece"] & ((1 << bits) - 1), row["piece"], *[None] * 5, tally)], names, kinds)
-                ask = distinct(pair[can])
-                if not len(ask):
-                    continue
-                amount = np.bincount(np.searchsorted(ask, pair[can & train]), minlength=len(ask)).astype(np.int32)
-                context = ask >> 32
-                head = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
-                fan = np.diff(head, append=len(ask)).astype(np.int32)
-                first = own[context[head]]
-                at = _bounds(first, bits)
-                begin = np.append(head, len(ask))
-                for b in range(1 << bits):
-                    if at[b + 1] > at[b]:
-                        h, e = slice(at[b], at[b + 1]), slice(begin[at[b]], begin[at[b + 1]])
-                        word = ask[e] & 0xFFFFFFFF
+                x = Local(row, bits)
+                amount = np.bincount(np.searchsorted(x.ask, x.pair[x.can & x.train]), minlength=len(x.ask)).astype(np.int32)[x.order]
+                word = (x.ask & 0xFFFFFFFF)[x.order]
+                entry = np.concatenate([[0], np.cumsum(x.fan)])
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(x.buckets)) + 1, [len(x.buckets)]]).tolist()
+                for i, j in zip(cuts, cuts[1:]):
+                    if j > i:
+                        u, e = slice(i, j), slice(entry[i], entry[j])
                         yield _binary(
-                            [(b, row["piece"], _pack(first[h]), _pack(fan[h]), _pack(own[word]), _pack(amount[e]), _pack(counts[word]), None)], names, kinds
-                        )
+                            [
+                                (
+                                    int(x.buckets[i]), row["piece"], _pack(x.keys[u]), _pack(x.fan[u].astype(np.int32)),
+                                    _pack(x.number[word[e]].astype("<u4")), _pack(amount[e]), _pack(x.counts[word[e]]),
+                                )
+                            ],
+                            names, kinds,
+                        )
 
     return rows.select("piece", "held", "sizes", "words", "tokens", "answers").mapInArrow(run, ASK)
 
 
 def _bigram_counts(requests: DataFrame, p_word) -> DataFrame:
-    """Per bucket its bigrams and counts, and for each piece the counts of its pairs and what its contexts need.
+    """Per bucket its bigrams and counts, and for each piece the counts of its pairs and what its units need.
 
-    ``seen`` per context: how many pairs have count MIN_COUNT..K, and the sum of counts beyond K; ``share``: the
-    single-word probability of the words of all its pairs in the model.
+    ``seen`` per unit: how many pairs have count 1..K, and the sum of counts beyond K; ``share``: the single-word
+    probability of the words of all its pairs.
     """
     names, kinds = [c.split()[0] for c in BI.split(", ")], [pa.int64()] * 2 + [pa.binary()] * 6 + [pa.list_(pa.int64())]
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        tally = [(r["bucket"], None, *[None] * 6, [r["tally"]] + [0] * K) for r in rows if r["first"] is None]
-        rows = [r for r in rows if r["first"] is not None]
-        if not rows:
-            return pa.Table.from_batches([_binary(tally, names, kinds)])
-        first = [_unpack(r["first"], "<u8") for r in rows]
+        keys = [_unpack(r["units"], "<i8") for r in rows]
         fan = [_unpack(r["fan"], "<i4") for r in rows]
-        contexts = distinct(np.concatenate(first))
-        context = np.concatenate([np.repeat(np.searchsorted(contexts, f), n) for f, n in zip(first, fan)])
-        second = np.concatenate([_unpack(r["second"], "<u8") for r in rows])
+        units = distinct(np.concatenate(keys))
+        unit = np.concatenate([np.repeat(np.searchsorted(units, k), n) for k, n in zip(keys, fan)])
+        pair = unit << 32 | np.concatenate([_unpack(r["second"], "<u4") for r in rows]).astype(np.int64)
         amount = np.concatenate([_unpack(r["counts"], "<i4") for r in rows])
         word_count = np.concatenate([_unpack(r["word_counts"], "<i8") for r in rows])
-        order = np.lexsort((second, context))
-        c, s = context[order], second[order]
-        new = np.concatenate(([True], (c[1:] != c[:-1]) | (s[1:] != s[:-1])))
+        order = np.argsort(pair)
+        p = pair[order]
+        new = np.ones(len(p), bool)
+        new[1:] = p[1:] != p[:-1]
         head = np.flatnonzero(new)
-        total = np.add.reduceat(amount[order].astype(np.int64), head)
+        total = np.add.reduceat(amount[order].astype(np.int64), head) if len(head) else np.zeros(0, np.int64)
         answer = np.empty(len(order), np.int32)
         answer[order] = total[np.cumsum(new) - 1]
-        of, kept = c[head], total >= MIN_COUNT
-        seen = [np.bincount(of[total == r], minlength=len(contexts)) for r in range(MIN_COUNT, K + 1)]
-        seen.append(np.bincount(of[total > K], weights=total[total > K], minlength=len(contexts)).astype(np.int64))
+        of, kept = p[head] >> 32, total > 0  # pairs of held-out texts only are asked for, and not in the model
+        n = len(units)
+        seen = [np.bincount(of[total == r], minlength=n) for r in range(1, K + 1)]
+        seen.append(np.bincount(of[total > K], weights=total[total > K], minlength=n).astype(np.int64))
         seen = np.stack(seen, axis=1).astype(np.int64)
-        share = np.bincount(of[kept], weights=p_word(word_count[order][head][kept]), minlength=len(contexts))
-        model_fan = np.bincount(of[kept], minlength=len(contexts))
+        share = np.bincount(of[kept], weights=p_word(word_count[order][head][kept]), minlength=n)
+        model_fan = np.bincount(of[kept], minlength=n)
         live = model_fan > 0
-        out = tally + [(rows[0]["bucket"], None, _pack(contexts[live]), _pack(model_fan[live].astype(np.int32)), _pack(s[head][kept]), _pack(total[kept]), _pack(seen[live]), _pack(share[live]), _counts_of_counts(total))]
+        second = (p[head][kept] & 0xFFFFFFFF).astype("<u4")
+        out = [(rows[0]["bucket"], None, _pack(units[live]), _pack(model_fan[live].astype(np.int32)), _pack(second), _pack(total[kept]), _pack(seen[live]), _pack(share[live]), _counts_of_counts(total))]
         at = 0
-        for r, f, n in zip(rows, first, fan):
-            size, place = int(n.sum()), np.searchsorted(contexts, f)
+        for r, k, f in zip(rows, keys, fan):
+            size, place = int(f.sum()), np.searchsorted(units, k)
             out.append((r["bucket"], r["piece"], None, None, None, _pack(answer[at : at + size]), _pack(seen[place]), _pack(share[place]), None))
             at += size
         return pa.Table.from_batches([_binary(out, names, kinds)])
@@ -285,7 +317,7 @@ class Words:
 
 def backoff(context_count: np.ndarray, seen: np.ndarray, share: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per context: the factor on discounted relative frequencies, and alpha."""
-    r = np.arange(MIN_COUNT, K + 1)
+    r = np.arange(1, K + 1)
     kept = (seen[:, :-1] * (d[r] * r)).sum(1) + seen[:, -1]
     count = np.maximum(context_count, 1)
     scale = np.where(count - kept > 1e-9 * count, 1.0, count / (count + 1))
@@ -295,44 +327,38 @@ def backoff(context_count: np.ndarray, seen: np.ndarray, share: np.ndarray, d: n
 SCORES = "id long, held boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scores(rows: DataFrame, p_word: Words, n_types: int, d: np.ndarray) -> DataFrame:
+def _scores(rows: DataFrame, bits: int, p_word: Words, n_types: int, d: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                own, counts = _unpack(row["words"], "<u8"), _word_answers(row)
-                tokens, sizes = _unpack(row["tokens"], "<i4"), _unpack(row["sizes"], "<i8")
-                pair, _, can = _entries(row, own, counts)
-                begins = np.cumsum(sizes) - sizes
-                c = counts[tokens]
-                single = np.log10(p_word(c))
+                x = Local(row, bits)
+                begins = np.cumsum(x.sizes) - x.sizes
+                c = x.counts[x.tokens]
+                log_p = np.log10(p_word(c))
                 # Contexts without pairs in the model give all their mass to single words: alpha is 1.
-                alpha, log_p = np.ones(len(own)), None
                 answers = sorted(row["pair_answers"] or [], key=lambda a: a["bucket"])
                 if answers:
-                    ask = distinct(pair[can])
-                    heads = distinct(ask >> 32)
-                    both = np.concatenate([_unpack(a["counts"], "<i4") for a in answers])
-                    seen = np.concatenate([_unpack(a["seen"], "<i8").reshape(-1, K - MIN_COUNT + 2) for a in answers])
-                    share = np.concatenate([_unpack(a["share"], "<f8") for a in answers])
-                    scale, weight = backoff(counts[heads], seen, share, d)
-                    alpha[heads] = weight
-                    factor = np.ones(len(own))
-                    factor[heads] = scale
-                    at = np.minimum(np.searchsorted(ask, pair), len(ask) - 1)
-                    n = np.where(can, both[at], 0)
-                    context = pair >> 32
-                    use = n >= MIN_COUNT
-                    log_p = np.log10(np.maximum(alpha[context], 1e-300)) + single
-                    direct = factor[context[use]] * d[np.minimum(n[use], K + 1)] * n[use] / counts[context[use]]
-                    log_p[use] = np.log10(direct)
-                else:
-                    log_p = single
+                    both = np.empty(len(x.ask), np.int64)
+                    both[x.order] = np.concatenate([_unpack(a["counts"], "<i4") for a in answers])
+                    context = x.units >> 32
+                    heads = distinct(context)
+                    at = np.searchsorted(heads, context)
+                    seen, share = np.zeros((len(heads), K + 1), np.int64), np.zeros(len(heads))
+                    np.add.at(seen, at, np.concatenate([_unpack(a["seen"], "<i8").reshape(-1, K + 1) for a in answers]))
+                    np.add.at(share, at, np.concatenate([_unpack(a["share"], "<f8") for a in answers]))
+                    alpha, factor = np.ones(len(x.number)), np.ones(len(x.number))
+                    factor[heads], alpha[heads] = backoff(x.counts[heads], seen, share, d)
+                    place = np.minimum(np.searchsorted(x.ask, x.pair), len(x.ask) - 1)
+                    n = np.where(x.can, both[place], 0)
+                    before, use = x.pair >> 32, n > 0
+                    log_p += np.log10(np.maximum(alpha[before], 1e-300))
+                    log_p[use] = np.log10(factor[before[use]] * d[np.minimum(n[use], K + 1)] * n[use] / x.counts[before[use]])
                 base = np.log10((c + 1) / (p_word.total + n_types + 1))
-                add = lambda x: np.add.reduceat(x, begins)
+                add = lambda v: np.add.reduceat(v, begins)
                 ids = pa.array(_unpack(row["ids"], "<i8"), mask=_unpack(row["no_id"], "?"))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(_unpack(row["held"], "?")), pa.array(sizes), pa.array(add((c > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(log_p))],
-                    [x.split()[0] for x in SCORES.split(", ")],
+                    [ids, pa.array(_unpack(row["held"], "?")), pa.array(x.sizes), pa.array(add((c > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(log_p))],
+                    [v.split()[0] for v in SCORES.split(", ")],
                 )
 
     return rows.mapInArrow(run, SCORES)
@@ -342,34 +368,39 @@ def _bits(entries: int) -> int:
     return max(0, (max(entries, 1) // BUCKET_ENTRIES).bit_length())
 
 
-def _by_number(rows: DataFrame) -> DataFrame:
+def _by_number(rows: DataFrame) -> tuple[DataFrame, str, str]:
     """Pieces as a table bucketed by their number: answers are shuffled to the pieces, not pieces to the answers."""
     spark = rows.sparkSession
     path, name = new_scratch_path(spark, "op6-pieces"), f"op6_pieces_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.write.bucketBy(n, "piece").option("path", path).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name, path
 
 
 def scored(docs: DataFrame, held: Column) -> tuple[DataFrame, int, DataFrame, DataFrame]:
     """Scores per row of ``docs`` (id, text), the number of training tokens, and the model's two tables."""
-    rows = _by_number(pieces(docs.select(F.col("id").cast("long").alias("id"), "text", F.coalesce(held, F.lit(False)).alias("held"))))
-    entries = rows.agg(F.sum("n_words")).first()[0] or 0
-    uni = staged(_word_counts(_word_requests(rows, _bits(entries))), "op6-words")
-    sums = uni.filter("piece is null").agg(*(F.sum(F.col("stats")[i]) for i in range(K + 3))).first()
-    total, n_types, *of_counts = (int(x or 0) for x in sums)
-    p_word = Words(total, of_counts)
-
-    answers = uni.filter("piece is not null").groupBy("piece").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
-    asked = rows.join(answers, "piece")
-    # About six pairs are sent for each distinct word of a piece.
-    requests = _bigram_requests(asked, _bits(6 * entries))
-    bi = staged(_bigram_counts(requests, p_word), "op6-bigrams")
-    sums = bi.filter("piece is null").agg(*(F.sum(F.col("stats")[i]) for i in range(K + 1))).first()
-    of_pairs = [int(x or 0) for x in sums]
-    d = discounts(of_pairs)
-    d[:MIN_COUNT] = 0.0
-
-    pair_answers = bi.filter("piece is not null").groupBy("piece").agg(F.collect_list(F.struct("bucket", "counts", "seen", "share")).alias("pair_answers"))
-    scores = _scores(asked.join(pair_answers, "piece", "left"), p_word, n_types, d)
-    return scores, total, uni.filter("piece is null"), bi.filter("piece is null and first is not null")
+    spark = docs.sparkSession
+    rows, name, path = _by_number(pieces(docs.select(F.col("id").cast("long").alias("id"), "text", F.coalesce(held, F.lit(False)).alias("held"))))
+    try:
+        entries = rows.agg(F.sum("n_words")).first()[0] or 0
+        bits = _bits(entries)
+        uni = staged(_word_counts(_word_requests(rows, bits), bits), "op6-words", keep=True)
+        sums = uni.filter("piece is null").agg(*(F.sum(F.col("stats")[i]) for i in range(K + 3))).first()
+        total, n_types, *of_counts = (int(x or 0) for x in sums)
+        p_word = Words(total, of_counts)
+
+        answers = uni.filter("piece is not null").groupBy("piece").agg(F.collect_list(F.struct("bucket", "ids", "counts")).alias("answers"))
+        asked = rows.join(answers, "piece")
+        # About six pairs are sent for each distinct word of a piece.
+        bits = _bits(6 * entries)
+        bi = staged(_bigram_counts(_bigram_requests(asked, bits), p_word), "op6-bigrams", keep=True)
+        sums = bi.filter("piece is null").agg(*(F.sum(F.col("stats")[i]) for i in range(K + 1))).first()
+        d = discounts([int(x or 0) for x in sums])
+
+        pair_answers = bi.filter("piece is not null").groupBy("piece").agg(F.collect_list(F.struct("bucket", "counts", "seen", "share")).alias("pair_answers"))
+        # Written, so that the pieces can go.
+        scores = staged(_scores(asked.join(pair_answers, "piece", "left"), bits, p_word, n_types, d), "op6-scores", keep=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_path(spark, path)
+    return scores, total, uni.filter("piece is null"), bi.filter("piece is null")

@@ -12,7 +12,8 @@ The rank that closes the sample is found without sorting a source: words are sum
 classes of the one that closes, then row by row in the one left. A hot source costs the same few rows as any other.
 
 Null text has size 0. Null sources are a source of their own, last in order. A row with a null id is sampled like any
-other. Rows that repeat an id are ranked alike, and taken each. Empty tables give no rows. Reruns agree.
+other. Rows that repeat an id are ranked alike, and taken each. Ties in rank go by id. Long texts are only counted. Empty
+tables give no rows. Columns with other names pass through ``mixed``. Reruns agree.
 """
 
 from __future__ import annotations
@@ -113,9 +114,15 @@ def copies(sizes: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3)
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 1) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; a source without words stays as it is."""
+    """The rows of ``docs`` as often as the mix takes them; a source without words stays as it is.
+
+    A row is known by its id, source and text. Rows that agree in all three are taken alike; others have a rank, and
+    copies, of their own.
+    """
     row, n = free_name(docs, "row"), free_name(docs, "copies")
-    plan = copies(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")), seed)
-    plan = plan.select(F.col("id").alias(row), F.col("copies").alias(n)).distinct()
-    joined = docs.join(plan, F.col(key).eqNullSafe(F.col(row)))
+    key, text, source = (F.col(f"`{c}`") for c in (key, text, source))
+    own = F.xxhash64(key, key.isNull(), source, source.isNull(), text, text.isNull())
+    plan = copies(docs.select(own.alias("id"), source.alias("source"), n_words(text).alias("size")), seed)
+    plan = plan.select(F.col("id").alias(row), F.col("copies").alias(n)).dropDuplicates([row])
+    joined = docs.join(plan, own == F.col(row))
     return joined.filter(F.col(n) > 0).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).drop(row, n)

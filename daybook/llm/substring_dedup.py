@@ -1,34 +1,46 @@
 """Substring dedup by content-defined chunks.
 
 Method. A gear rolling hash runs over the UTF-8 bytes of each text; a chunk ends where five of its bits are zero (32
-bytes on average), which depends on the last 16 bytes only, so cuts return to the same places behind an insertion.
-Chunks never split a character. A chunk is a repeat if the same 128-bit digest stands earlier: in a document of smaller
-id, or before it in its own. Runs of adjacent repeats of at least ``min_bytes`` are cut out; a passage of more than 50
-words holds such a run wherever it stands, and chance repeats of single chunks do not reach it.
-
-Null or empty text: nothing to remove, returned as it is. Rows with a null id are returned unchanged and repeat nothing.
-Rows that repeat an id count as one document. Other columns pass through.
+bytes on average), which depends on the last 16 bytes only, so cuts return to the same places behind an insertion. A
+chunk has at most ``MOST`` bytes: without a natural cut it ends there, at a character's end. Chunks never split a
+character. A chunk is a repeat if the same digest (BLAKE2b, 128 bits) stands earlier: in a document of smaller id, or
+before it in its own. Runs of adjacent repeats of at least ``min_bytes`` are cut out; a passage of more than 50 words
+holds such a run wherever it stands, and chance repeats of single chunks do not reach it.
+
+Each chunk travels once. Of equal chunks that a task sees together, only the first goes to the digest's task; the others
+are repeats already, so a digest that stands in a third of all documents brings a few rows per task, not all of them.
+
+A document is a row's id and text: rows that agree in both are one document, cut alike, and rows that only share an id
+are documents of their own (the digest of the text orders them), so no text is cut by the places of another. Null or
+empty text: nothing to remove, returned as it is. Rows with a null id are returned unchanged and repeat nothing. Long
+texts are hashed piece by piece. Between equal chunks of one document the first place stays. An empty table gives no
+rows. Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import free_name, passing, staged
-from daybook.llm.textvec import mix, powers, slices, text_bytes
+from daybook.llm.textvec import slices, text_bytes
 
 _rng = np.random.Generator(np.random.PCG64(77))
 GEAR = _rng.integers(0, 2**32, 256, dtype=np.uint32)
-VALUES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64)
 CUT_BITS = np.uint32(0xF800)
 REACH = 16  # bytes that bits up to 15 of the hash depend on
+MOST = 512  # bytes of a chunk
+SLICE = 8 << 20  # bytes of text whose chunks are compared before they are sent
 
 
 def chunk_ends(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Where chunks end (exclusive), over all texts."""
+    if not len(data):
+        return np.zeros(0, np.int64)
     h = GEAR[data]
     step = 1
     while step < REACH:
@@ -36,66 +48,106 @@ def chunk_ends(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         later[step:] += h[:-step] << np.uint32(step)
         h, step = later, step * 2
     cut = (h & CUT_BITS) == 0
-    first = np.zeros(len(data) + 1, np.int64)
-    first[starts[:-1]] = 1  # hashes of a text's first bytes still hold bytes of the text before
-    for d in range(REACH - 1):
+    for d in range(REACH - 1):  # hashes of a text's first bytes still hold bytes of the text before
         at = starts[:-1] + d
         cut[at[at < len(data)]] = False
     follow = np.zeros(len(data), bool)
     follow[:-1] = (data[1:] & 0xC0) == 0x80
     cut &= ~follow
-    ends = np.flatnonzero(cut) + 1
-    return np.unique(np.concatenate([ends, starts[1:][np.diff(starts) > 0]])) if len(data) else ends
+    ends = np.unique(np.concatenate([np.flatnonzero(cut) + 1, starts[1:][np.diff(starts) > 0]]))
+    begins = np.concatenate(([0], ends[:-1]))
+    # Too long: cut every MOST bytes from where the chunk begins, less what would split a character.
+    extra = (ends - begins - 1) // MOST
+    long = np.flatnonzero(extra)
+    if len(long):
+        nth = np.arange(extra.sum()) - np.repeat(np.cumsum(extra[long]) - extra[long], extra[long]) + 1
+        more = np.repeat(begins[long], extra[long]) + nth * MOST
+        for _ in range(3):
+            more = more - follow[more - 1]
+        ends = np.unique(np.concatenate([ends, more]))
+    return ends
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(d1, d2, id, at, size): each chunk's digest, document, place and bytes; ``docs`` has columns id and text."""
+    """(d1, d2, id, h, at, size, again): chunks of ``docs`` (id, h, text) that may be the first of their digest, and, with
+    ``again``, those that are known not to be."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", SLICE):
                 data, starts = text_bytes(part.column("text"))
                 ends = chunk_ends(data, starts)
                 if not len(ends):
                     continue
                 begins = np.concatenate(([0], ends[:-1]))
                 size = ends - begins
-                weight = powers(int(size.max()))[np.arange(len(data)) - np.repeat(begins, size)]
-                digest = [mix(np.add.reduceat(v[data] * weight, begins) + size.astype(np.uint64)).view(np.int64) for v in VALUES]
+                raw, blake = memoryview(data.tobytes()), hashlib.blake2b
+                digest = b"".join([blake(raw[a:b], digest_size=16).digest() for a, b in zip(begins.tolist(), ends.tolist())])
+                d1, d2 = np.frombuffer(digest, "<i8").reshape(-1, 2).T
                 text = np.searchsorted(starts, begins, "right") - 1
-                ids = part.column("id").take(pa.array(text))
-                columns = [pa.array(digest[0]), pa.array(digest[1]), ids, pa.array(begins - starts[text]), pa.array(size)]
-                yield pa.RecordBatch.from_arrays(columns, ["d1", "d2", "id", "at", "size"])
+                ids, h = (part.column(c).to_numpy()[text] for c in ("id", "h"))
+                at = begins - starts[text]
+                order = np.lexsort((at, h, ids, d2, d1))
+                d1, d2, ids, h, at, size = (c[order] for c in (d1, d2, ids, h, at, size))
+                new = np.concatenate(([True], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])))
+                head = np.flatnonzero(new)[np.cumsum(new) - 1]
+                here = (ids == ids[head]) & (h == h[head]) & (at == at[head])
+                keep = new | ~here  # the same place twice: rows that agree in id and text
+                # Known repeats need no digest; their own place spreads them.
+                d1 = np.where(here, d1, at * np.int64(0x9E3779B97F4A7C1) ^ h)
+                columns = [pa.array(c[keep]) for c in (d1, np.where(here, d2, 0), ids, h, at, size, ~here)]
+                yield pa.RecordBatch.from_arrays(columns, ["d1", "d2", "id", "h", "at", "size", "again"])
+
+    return docs.mapInArrow(run, "d1 long, d2 long, id long, h long, at long, size long, again boolean")
+
+
+def _repeats(pieces: DataFrame) -> DataFrame:
+    """(id, h, at, size) of all chunks that are not the first of their digest."""
+    sorted_pieces = pieces.repartition("d1").sortWithinPartitions("again", "d1", "d2", "id", "h", "at")
 
-    return docs.filter("id is not null").mapInArrow(run, "d1 long, d2 long, id long, at long, size long")
+    def run(batches):
+        last = None  # digest and first place of the run that the batch before ended in
+        for batch in batches:
+            d1, d2, ids, h, at, size = (batch.column(i).to_numpy() for i in range(6))
+            again = batch.column(6).to_numpy(zero_copy_only=False)
+            out = again.copy()
+            n = int((~again).sum())  # known repeats come last
+            if n:
+                new = np.concatenate(([True], (d1[1:n] != d1[: n - 1]) | (d2[1:n] != d2[: n - 1])))
+                head = np.flatnonzero(new)[np.cumsum(new) - 1]
+                place = np.stack([ids[:n], h[:n], at[:n]])
+                first = place[:, head]
+                if last is not None and last[0] == (d1[0], d2[0]):
+                    first[:, : int((head == 0).sum())] = np.array(last[1])[:, None]
+                out[:n] = (place != first).any(axis=0)
+                last = (d1[n - 1], d2[n - 1]), first[:, -1].copy()
+            if out.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (ids, h, at, size)], ["id", "h", "at", "size"])
+
+    return sorted_pieces.mapInArrow(run, "id long, h long, at long, size long")
 
 
 def spans(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
-    """(id, spans): per document the byte ranges to cut out, as an array of (at, size) in order."""
-    pieces = chunks(docs)
-    # First by one half of the digest: most chunks end here.
-    seen = staged(pieces.groupBy("d1").count().filter("count > 1").select("d1"), "op1-seen")
-    again = staged(pieces.join(seen, "d1", "left_semi").distinct(), "op1-again")
-    first = again.groupBy("d1", "d2").agg(F.min(F.struct("id", "at")).alias("first"))
-    repeats = again.join(first, ["d1", "d2"]).filter(F.struct("id", "at") > F.col("first")).select("id", "at", "size")
-    # Adjacent repeats of a document become one run.
-    ordered = F.array_sort(F.collect_list(F.struct("at", "size")))
-    runs = F.aggregate(
-        ordered,
-        F.array().cast("array<struct<at:bigint,size:bigint>>"),
-        lambda done, c: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["at"] + F.element_at(done, -1)["size"] == c["at"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["at"].alias("at"), (F.element_at(done, -1)["size"] + c["size"]).alias("size"))),
-            ),
-        ).otherwise(F.concat(done, F.array(c))),
-    )
-    return (
-        repeats.groupBy("id").agg(runs.alias("runs"))
-        .select("id", F.filter("runs", lambda r: r["size"] >= min_bytes).alias("spans"))
-        .filter(F.size("spans") > 0)
-    )
+    """(id, h, spans): per document the byte ranges to cut out, as an array of (at, size) in order."""
+    repeats = _repeats(chunks(docs.filter("id is not null")))
+    listed = repeats.groupBy("id", "h").agg(F.sort_array(F.collect_set(F.struct("at", "size"))).alias("chunks"))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                pair = batch.column("chunks").slice(i, 1).flatten()
+                at, size = pair.field("at").to_numpy(), pair.field("size").to_numpy()
+                # Adjacent repeats become one run.
+                begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1] + size[:-1])))
+                total = np.add.reduceat(size, begin)
+                wide = total >= min_bytes
+                out.append([{"at": a, "size": s} for a, s in zip(at[begin][wide].tolist(), total[wide].tolist())])
+            kind = pa.list_(pa.struct([("at", pa.int64()), ("size", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), pa.array(out, kind)], ["id", "h", "spans"])
+
+    merged = listed.mapInArrow(run, "id long, h long, spans array<struct<at:bigint,size:bigint>>")
+    return merged.filter(F.size("spans") > 0)
 
 
 def cut_out(rows: DataFrame, text: str, spans: str) -> DataFrame:
@@ -117,14 +169,21 @@ def cut_out(rows: DataFrame, text: str, spans: str) -> DataFrame:
             columns[t] = pa.array(texts, batch.schema.field(t).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return rows.mapInArrow(run, schema)
+    # Spark looks columns up by name here: names with dots pass as plain ones.
+    plain = rows.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, plain.schema).toDF(*names).select(*[F.col(f"`{f.name}`") for f in schema])
+
+
+def _digest(text: str) -> Column:
+    return F.xxhash64(F.col(f"`{text}`"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = 100) -> tuple[DataFrame, str]:
     """The rows of ``docs`` with repeated passages cut out of ``text``, and the name of a column with the cut spans."""
-    name, own = free_name(docs, "spans"), free_name(docs, "span_id")
+    name, own, h = free_name(docs, "spans"), free_name(docs, "span_id"), free_name(docs, "span_text")
+    id_ = F.col(f"`{key}`")
     with passing(docs.sparkSession):
-        found = spans(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), min_bytes)
-        found = staged(found.select(F.col("id").alias(own), F.col("spans").alias(name)), "op1-spans", keep=True)
-    joined = docs.join(found, F.col(key) == F.col(own), "left").drop(own)
+        found = spans(docs.select(id_.cast("long").alias("id"), _digest(text).alias("h"), F.col(f"`{text}`").alias("text")), min_bytes)
+        found = staged(found.select(F.col("id").alias(own), F.col("h").alias(h), F.col("spans").alias(name)), "op1-spans", keep=True)
+    joined = docs.join(found, (id_.cast("long") == F.col(own)) & (_digest(text) == F.col(h)), "left").drop(own, h)
     return cut_out(joined, text, name), name

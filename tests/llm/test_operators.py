@@ -277,7 +277,7 @@ def test_katz_is_normalised_and_scores_like_its_definition(spark, docs, monkeypa
     single = lambda w: float(p_word(np.array([c.get(w, 0)]))[0])
 
     def p(u, w):
-        kept = {x: n for (y, x), n in b.items() if y == u and n >= katz.MIN_COUNT}
+        kept = {x: n for (y, x), n in b.items() if y == u and n >= 1}
         if not of[u]:
             return single(w)
         mass = sum(d[min(n, katz.K + 1)] * n for n in kept.values())

@@ -35,5 +35,5 @@ def test_no_near_copies_are_left_and_each_had_one(spark, kept):
 
 
 def test_registered_once_each():
-    assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]) if q != "pipeline" else 99) if q != "pipeline"] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]) if q != "pipeline" else 99) if q != "pipeline"] == list(range(1, 14))
     assert "pipeline" in QUERIES
