@@ -251,6 +251,10 @@ QUALIFY row_number() OVER (PARTITION BY holder_id, policy_id ORDER BY _runDate D
     "q41_upsert_first_loaded": _FIRST_LOADED,
     "q42_endorsed_daily": _ENDORSED,
     "q43_payments_by_holder_state": _BY_HOLDER_STATE,
+    "q52_keyed_store_merge": _upserted("policies", "status", "Cancelled", "Active"),
+    "q53_premium_from_states": written_premium(""),
+    "q54_policies_per_state": f"SELECT state, {_sum('written_premium')} AS written_premium, count(DISTINCT policy_id) AS policy_count "
+    f"FROM ({clean('policies')}) GROUP BY state",
     "q44_day_bronze_payments": bronze("payments"),
     "q45_day_rejects_policies": f"SELECT {TEXT['policies']}, CASE WHEN {SILVER_FAILED['policies']} THEN "
     f"'POLICY_SILVER_RULES_FAILED' ELSE 'POLICY_SILVER_RULES_UNKNOWN' END AS reject_reason FROM ({bronze('policies')}) "

@@ -31,9 +31,11 @@ from daybook.operators.star import daily_totals, valid_at, versions_between
 from daybook.operators.upsert import upsert, upsert_columns
 from daybook.plans.history import load_history, load_history_days
 from daybook.plans.merge import merge_run
-from daybook.schemas import ENTITIES, HISTORY_TABLE, RUN, TABLES
+from daybook.plans.partials import GROUPS, premium_from_states, refresh_states
+from daybook.schemas import ENTITIES, HISTORY_TABLE, RUN, TABLES, Table
 from daybook.session import new_scratch_path, write_scratch
 from daybook.sources.drops import copy_drop, drop_path, read_text, write_csv
+from daybook.sources.keyed import KeyedStore
 from daybook.sources.tables import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,6 +306,39 @@ def upsert_first_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_columns(loaded(old, LAST_OLD_RUN), loaded(new, NEXT_RUN), ENTITIES["policies"].key, update=update)
 
 
+def _premium_states(spark: SparkSession, sf_dir: str, by: tuple[str, ...]) -> DataFrame:
+    """The premium over all runs from daily states: computed for the old runs, then for what a merge has touched."""
+    table = "silver_policies"
+    old, new = _old_and_new(_stored(stored_clean(spark, sf_dir, "policies"), table), "status", "Cancelled", "Active")
+    with _scratch_lake(spark, table) as lake:
+        lake.overwrite_partitions(table, old.hint("rebalance", RUN))
+        refresh_states(lake)
+        merge_run(lake, table, new, NEXT_RUN)
+        refresh_states(lake)
+        return premium_from_states(lake, by)
+
+
+def premium_from_daily_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _premium_states(spark, sf_dir, GROUPS)
+
+
+def policies_per_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coarser aggregate from the same states: distinct policies over all days."""
+    return _premium_states(spark, sf_dir, ("state",))
+
+
+def keyed_store_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The policies upsert on a table in hash buckets of its key."""
+    rows = stored_clean(spark, sf_dir, "policies")
+    table = Table("policies", "silver", "policies", rows.schema, key=ENTITIES["policies"].key)
+    old, new = _old_and_new(rows, "status", "Cancelled", "Active")
+    with _scratch_lake(spark) as lake:
+        store = KeyedStore(lake, table, slots=16, buckets=8).create()
+        store.merge(old)
+        store.merge(new)
+        return write_scratch(store.read(), "keyed-store")[0]
+
+
 # Runs
 
 
@@ -399,4 +434,7 @@ QUERIES: dict[str, Query] = {
     "q41_upsert_first_loaded": upsert_first_loaded,
     "q42_endorsed_daily": endorsed_daily,
     "q43_payments_by_holder_state": payments_by_holder_state,
+    "q52_keyed_store_merge": keyed_store_merge,
+    "q53_premium_from_states": premium_from_daily_states,
+    "q54_policies_per_state": policies_per_state,
 } | week.QUERIES

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -54,26 +55,22 @@ def run_day(
     if keep_newer is None:
         keep_newer = is_late(lake, run_date)
 
-    def step(layer: str, entity: str, work: Callable[..., Counts], *args, **options) -> None:
-        logged(lake, layer, entity, run_date, lambda: work(lake, *args, **options))
+    def layer(name: str, steps: dict[str, Callable[[], Counts]]) -> None:
+        logged(lake, name, run_date, steps.items())
 
     def alert() -> None:
         write_run_alert(lake, run_date, environment, "true" if export else "false", since=began)
 
     try:
         if from_landing:
-            for name in ENTITIES:
-                step("raw", name, copy_landing, name, run_date)
-        for name, entity in ENTITIES.items():
-            step("bronze", name, load_bronze, entity, run_date, bronze_mode)
-        for name, entity in ENTITIES.items():
-            step("silver", name, load_silver, entity, run_date, keep_newer=keep_newer)
-        step("history", "policyholders", load_history, run_date, allow_backdated=allow_backdated)
-        for aggregate in AGGREGATES:
-            step("gold", aggregate.export_name, load_gold, aggregate, run_date)
+            layer("raw", {name: partial(copy_landing, lake, name, run_date) for name in ENTITIES})
+        layer("bronze", {name: partial(load_bronze, lake, e, run_date, bronze_mode) for name, e in ENTITIES.items()})
+        layer("silver", {name: partial(load_silver, lake, e, run_date, keep_newer=keep_newer) for name, e in ENTITIES.items()})
+        layer("history", {"policyholders": partial(load_history, lake, run_date, allow_backdated=allow_backdated)})
+        gold = {a.export_name: partial(load_gold, lake, a, run_date) for a in AGGREGATES}
         if export:
-            for aggregate in AGGREGATES:
-                step("gold", f"{aggregate.export_name}_csv", export_gold, aggregate, run_date)
+            gold |= {f"{a.export_name}_csv": partial(export_gold, lake, a, run_date) for a in AGGREGATES}
+        layer("gold", gold)
     except Exception as error:
         try:
             alert()

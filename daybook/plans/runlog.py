@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -17,25 +17,29 @@ from daybook.sources.tables import Lake
 RUN_NAME = "daily_batch"
 
 
-def logged(lake: Lake, layer: str, entity: str, run_date: str, work: Callable[[], Counts]) -> Counts:
-    """Do one step and append its log row; a failure is logged with its message and raised again."""
-    started = datetime.now(timezone.utc)
-    try:
-        counts = work()
-    except Exception as error:
-        _append(lake, layer, entity, run_date, FAILED, Counts(), str(error), started)
-        raise
-    _append(lake, layer, entity, run_date, SUCCESS, counts, "", started)
-    return counts
+def logged(lake: Lake, layer: str, run_date: str, steps: Iterable[tuple[str, Callable[[], Counts]]]) -> None:
+    """Do the steps of a layer in order and append their log rows, one write for all of them.
 
+    The first failure is logged with its message, stops the rest and is raised again.
+    """
+    rows: list[tuple] = []
 
-def _append(
-    lake: Lake, layer: str, entity: str, run_date: str, status: str, counts: Counts, message: str, started: datetime
-) -> None:
-    ended = datetime.now(timezone.utc)
-    seconds = int((ended - started).total_seconds())
-    row = (RUN_NAME, layer, entity, run_date, status, *counts, seconds, message, started, ended)
-    lake.append(LOG_TABLE, lake.spark.createDataFrame([row], TABLES[LOG_TABLE].schema).coalesce(1))
+    def note(entity: str, status: str, counts: Counts, message: str, started: datetime) -> None:
+        ended = datetime.now(timezone.utc)
+        rows.append((RUN_NAME, layer, entity, run_date, status, *counts, int((ended - started).total_seconds()), message, started, ended))
+
+    try:
+        for entity, work in steps:
+            started = datetime.now(timezone.utc)
+            try:
+                counts = work()
+            except Exception as error:
+                note(entity, FAILED, Counts(), str(error), started)
+                raise
+            note(entity, SUCCESS, counts, "", started)
+    finally:
+        if rows:
+            lake.append(LOG_TABLE, lake.spark.createDataFrame(rows, TABLES[LOG_TABLE].schema).coalesce(1))
 
 
 def recent_log(lake: Lake, k: int = 20) -> DataFrame:

@@ -156,9 +156,8 @@ class Lake:
         """
         spec, fresh = TABLES[table], self._fresh(table)
         self._typed(table, df).write.partitionBy(spec.partition).parquet(fresh)
-        # One row per partition: what a run touches.
-        written = self.spark.read.schema(spec.schema).parquet(fresh).select(spec.partition).distinct().collect()
-        values = sorted((r[0] for r in written), key=lambda v: (v != first, v))
+        written = [path.rsplit("=", 1)[1] for path in matching_folders(self.spark, f"{fresh}/{spec.partition}=*")]
+        values = sorted(written, key=lambda v: (v != first, v))
         self._switch(table, {v: f"{fresh}/{spec.partition}={checked_partition(v)}" for v in values})
 
     def clear_partition(self, table: str, value: str) -> None:
