@@ -42,6 +42,7 @@ from daybook.llm.textvec import distinct, slices
 BLOCK_BYTES = 8 << 20
 CACHED = 400_000  # pieces whose alignment a task keeps between blocks
 ENCODED = 10_000  # pieces encoded together
+JOINED = 1_000  # pieces that make one text for the tokenizers
 # A space, what follows up to the next space behind a character that is no white space, and white space at the end.
 PIECE = regex.compile(r" \s*\S(?:[^ ]|(?<=\s) )*(?: \s*\Z)?")
 ODD_SPACE = regex.compile(r"\s ")
@@ -51,8 +52,8 @@ SPACE_MARK = "▁"
 class Pair:
     """Both tokenizers, loaded from the contents of their files, and the pieces of text aligned so far.
 
-    Per piece: ``counts`` (A tokens, B tokens, groups), ``fits``, its linked pairs (``pairs`` from ``begin`` on, ``size`` of
-    them) and ``groups``, its part of the text's listing.
+    Per piece: ``counts`` (A tokens, B tokens, groups), ``fits``, the number ``size`` of its linked pairs in ``pairs``,
+    ``groups``, its part of the text's listing, and ``uses``, how often it was met.
     """
 
     def __init__(self, spec: str, model: bytes, tokens: dict[int, bytes]):
@@ -73,9 +74,22 @@ class Pair:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.fits, self.size = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.fits, self.size, self.uses = np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.counts, self.pairs = np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
 
+    def thin_out(self) -> None:
+        """Keep the pieces that were met more than once since the last time; all go if those are too many."""
+        stay = self.uses > 1
+        if stay.sum() > CACHED // 2:
+            self.forget()
+            return
+        place = np.cumsum(stay) - 1
+        keep = stay.tolist()
+        self.known = {p: int(place[i]) for p, i in self.known.items() if keep[i]}
+        self.groups = [g for g, k in zip(self.groups, keep) if k]
+        self.pairs = self.pairs[np.repeat(stay, self.size)]
+        self.fits, self.size, self.counts, self.uses = self.fits[stay], self.size[stay], self.counts[stay], np.zeros(int(stay.sum()), np.int64)
+
     def pieces(self, text: str) -> list[str]:
         """A space and the text, cut where both tokenizers split; the space that begins each piece is left out."""
         if self.whole:
@@ -85,31 +99,51 @@ class Pair:
         return text.split(" ")
 
     def align(self, pieces: list[str]) -> None:
-        """Add the alignments of ``pieces`` to what is known."""
-        for at in range(0, len(pieces), ENCODED):
-            part = pieces[at : at + ENCODED]
-            left = self.a.encode_batch([" " + p for p in part], add_special_tokens=False)
-            right = self.b.encode(part, return_type="proto", num_threads=1)
-            self.known.update(zip(part, range(len(self.groups), len(self.groups) + len(part))))
-            self._add(part, left, [[(t.id, t.begin, t.end) for t in p.pieces] for p in right])
-
-    def _add(self, pieces: list[str], left: list, right: list) -> None:
-        data = [(" " + p).encode() for p in pieces]
-        starts = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+        """Add the alignments of ``pieces`` to what is known.
+
+        Pieces that end in a character and hold no space mark follow each other as in a text, many to one call; the others
+        make a call each.
+        """
+        alone = [not p or p[-1].isspace() or SPACE_MARK in p for p in pieces]
+        together = [p for p, x in zip(pieces, alone) if not x]
+        if self.whole:
+            together, alone = [], [True] * len(pieces)
+        for at in range(0, len(together), ENCODED):
+            part = together[at : at + ENCODED]
+            self._encode(part, [part[i : i + JOINED] for i in range(0, len(part), JOINED)])
+        rest = [p for p, x in zip(pieces, alone) if x]
+        for at in range(0, len(rest), ENCODED):
+            part = rest[at : at + ENCODED]
+            self._encode(part, [[p] for p in part])
+
+    def _encode(self, pieces: list[str], texts: list[list[str]]) -> None:
+        """Align ``pieces``, which follow each other in ``texts``."""
+        joined = [" ".join(t) for t in texts]
+        left = self.a.encode_batch([" " + t for t in joined], add_special_tokens=False)
+        right = self.b.encode(joined, return_type="proto", num_threads=1)
+        data = [(" " + t).encode() for t in joined]
+        size = np.array([len(d) for d in data], np.int64)
+        begin = np.cumsum(size) - size
+        raw = b"".join(data)
+        starts = np.concatenate([[0], np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces]) + np.arange(1, len(pieces) + 1)])
+
         # Spans in bytes: A counts characters, B bytes behind the space that it puts in front itself.
-        spans = [x.offsets if len(raw) == len(piece) + 1 else _in_bytes(" " + piece, x.offsets) for piece, raw, x in zip(pieces, data, left)]
         ids = np.array(list(chain.from_iterable([x.ids for x in left])), np.int64)
-        a = Tokens(self.of_a, ids, [len(x) for x in spans], np.array(list(chain.from_iterable(spans)), np.int64), starts)
-        number = [len(x) for x in right]
-        flat = np.array(list(chain.from_iterable(right)), np.int64).reshape(-1, 3)
+        number = np.array([len(x) for x in left], np.int64)
+        spans = np.array(list(chain.from_iterable([x.offsets for x in left])), np.int64).reshape(-1, 2)
+        characters = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+        spans += np.repeat(np.searchsorted(characters, begin), number)[:, None]
+        a = Tokens(self.of_a, ids, np.append(characters, len(raw))[spans], starts)
+        flat = np.array([(t.id, t.begin, t.end) for p in right for t in p.pieces], np.int64).reshape(-1, 3)
+        number = np.array([len(p.pieces) for p in right], np.int64)
         spans = flat[:, 1:] + 1
-        spans[(np.cumsum(number) - number)[np.array(number, np.int64) > 0], 0] = 0
-        b = Tokens(self.of_b, flat[:, 0], number, spans, starts)
+        spans[(np.cumsum(number) - number)[number > 0], 0] = 0
+        b = Tokens(self.of_b, flat[:, 0], spans + np.repeat(begin, number)[:, None], starts)
         cuts = _both(a.clean, b.clean)
-        raw = b"".join(data)
         fits = a.placed(raw, cuts) & b.placed(raw, cuts)
         a.keep(fits)
         b.keep(fits)
+        self.known.update(zip(pieces, range(len(self.groups), len(self.groups) + len(pieces))))
 
         # Links: of each A token, the B tokens from the one that ends behind its start to the one that reaches its end.
         first = np.searchsorted(b.ends, a.ends - a.sizes, "right")
@@ -133,6 +167,7 @@ class Pair:
             self.groups.append("".join(texts[at : at + size])[:-1])
             at += size
         self.fits = np.concatenate([self.fits, fits])
+        self.uses = np.concatenate([self.uses, np.zeros(n, np.int64)])
         self.size = np.concatenate([self.size, np.bincount(a.piece[take], minlength=n)])
         self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups], axis=1)])
         self.pairs = np.concatenate([self.pairs, pairs])
@@ -154,13 +189,6 @@ def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], place
 
 
-def _in_bytes(piece: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    byte = [0]
-    for c in piece:
-        byte.append(byte[-1] + len(c.encode()))
-    return [(byte[s], byte[e]) for s, e in spans]
-
-
 class Side:
     """A tokenizer's tokens: their bytes, and how they are listed within a group and at its end."""
 
@@ -174,12 +202,11 @@ class Side:
 class Tokens:
     """The tokens of many pieces laid one behind the other, with their spans in bytes."""
 
-    def __init__(self, side: Side, ids: np.ndarray, number: list[int], spans: np.ndarray, starts: np.ndarray):
+    def __init__(self, side: Side, ids: np.ndarray, spans: np.ndarray, starts: np.ndarray):
         self.side, self.starts, self.ids = side, starts, ids
-        self.piece = np.repeat(np.arange(len(number)), number)
+        self.begin, self.end = spans[:, 0], spans[:, 1]
+        self.piece = np.searchsorted(starts, self.begin, "right") - 1
         self.sizes = side.size[self.ids]
-        span = spans.reshape(-1, 2) + starts[self.piece][:, None]
-        self.begin, self.end = span[:, 0], span[:, 1]
         # A coarse cut: a token ends, no later one begins before, and the next piece begins there at the latest.
         later = np.minimum.accumulate(np.append(self.begin, starts[-1])[::-1])[::-1][1:]
         self.clean = distinct(np.concatenate([self.end[(later >= self.end) & (self.end > self.begin)], starts[1:]]))
@@ -222,7 +249,7 @@ class Tokens:
 def _block(pair: Pair, texts: list[str | None]):
     """Alignment of many texts: numbers per text, distinct pairs, and each text's pairs as places among these."""
     if len(pair.known) > CACHED:
-        pair.forget()
+        pair.thin_out()
     split = [pair.pieces(t) if t else None for t in texts]
     new = set().union(*[p for p in split if p]).difference(pair.known)
     pair.align(sorted(new))
@@ -230,7 +257,9 @@ def _block(pair: Pair, texts: list[str | None]):
     fits, size, counts = pair.fits, pair.size, pair.counts
     held = [np.array([known[p] for p in pieces], np.int64) if pieces else None for pieces in split]
     # The block's own pieces, and their pairs, numbered anew.
-    own = distinct(np.concatenate([h for h in held if h is not None] or [np.zeros(0, np.int64)]))
+    met = np.concatenate([h for h in held if h is not None] or [np.zeros(0, np.int64)])
+    pair.uses += np.bincount(met, minlength=len(pair.uses))
+    own = distinct(met)
     begin = np.cumsum(size) - size
     take = np.arange(size[own].sum()) - np.repeat(np.cumsum(size[own]) - size[own], size[own]) + np.repeat(begin[own], size[own])
     pairs, place = _numbered(pair.pairs[take])
