@@ -252,6 +252,7 @@ QUALIFY row_number() OVER (PARTITION BY holder_id, policy_id ORDER BY _runDate D
     "q42_endorsed_daily": _ENDORSED,
     "q43_payments_by_holder_state": _BY_HOLDER_STATE,
     "q52_keyed_store_merge": _upserted("policies", "status", "Cancelled", "Active"),
+    "q55_saved_by_name": clean("policyholders", WEEK),
     "q53_premium_from_states": written_premium(""),
     "q54_policies_per_state": f"SELECT state, {_sum('written_premium')} AS written_premium, count(DISTINCT policy_id) AS policy_count "
     f"FROM ({clean('policies')}) GROUP BY state",

@@ -306,6 +306,17 @@ def upsert_first_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_columns(loaded(old, LAST_OLD_RUN), loaded(new, NEXT_RUN), ENTITIES["policies"].key, update=update)
 
 
+def saved_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from the first day's clean holders, to which the later ones are added with their columns in another order."""
+    rows = stored_clean(spark, sf_dir, "policyholders", "policyholders_week")
+    first = rows.where(F.col(RUN) == FIRST_DAY)
+    later = rows.where(F.col(RUN) > FIRST_DAY).select(*reversed(rows.columns))
+    with _scratch_lake(spark) as lake:
+        lake.save_by_name("kept_by_name", first)
+        lake.save_by_name("kept_by_name", later)
+        return write_scratch(spark.table(lake.name("kept_by_name")), "by-name")[0]
+
+
 def _premium_states(spark: SparkSession, sf_dir: str, by: tuple[str, ...]) -> DataFrame:
     """The premium over all runs from daily states: computed for the old runs, then for what a merge has touched."""
     table = "silver_policies"
@@ -437,4 +448,5 @@ QUERIES: dict[str, Query] = {
     "q52_keyed_store_merge": keyed_store_merge,
     "q53_premium_from_states": premium_from_daily_states,
     "q54_policies_per_state": policies_per_state,
+    "q55_saved_by_name": saved_by_name,
 } | week.QUERIES

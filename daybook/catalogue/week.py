@@ -7,6 +7,8 @@ files to exported aggregates. The lake is built once per session and input, and
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +33,13 @@ _built: dict[tuple[str, str], Lake] = {}
 
 
 def write_landing(spark: SparkSession, sf_dir: str, base: str, dates: tuple[str, ...] = WEEK) -> None:
-    for entity, source in SOURCES.items():
-        rows = raw(spark, sf_dir, source).select(*ENTITIES[entity].columns)
-        for run_date in dates:
-            write_drop(rows.where(F.col("runDate") == run_date), f"{base}/landing", entity, run_date)
+    def write(place: tuple[str, str]) -> None:
+        entity, run_date = place
+        rows = raw(spark, sf_dir, SOURCES[entity]).select(*ENTITIES[entity].columns)
+        write_drop(rows.where(F.col("runDate") == run_date), f"{base}/landing", entity, run_date)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(write, product(SOURCES, dates)))
 
 
 def week(spark: SparkSession, sf_dir: str) -> Lake:
@@ -46,7 +51,7 @@ def week(spark: SparkSession, sf_dir: str) -> Lake:
         try:
             write_landing(spark, sf_dir, lake.base)
             for run_date in WEEK:
-                run_day(lake, run_date, export_csv="true", from_landing=True)
+                run_day(lake, run_date, export_csv="true", from_landing=True, at_once=3)
         finally:
             spark.sql(f"DROP DATABASE IF EXISTS `{lake.database}` CASCADE")
         _built[place] = lake

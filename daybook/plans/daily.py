@@ -42,11 +42,12 @@ def run_day(
     environment: str = "dev",
     keep_newer: bool | None = None,
     allow_backdated: bool = False,
+    at_once: int = 1,
 ) -> None:
     """Raw to bronze, silver, history and gold for one run date, in order; safe to repeat.
 
     Every step logs its counts; the first failure stops the rest. The alert record of the attempt is written on success
-    and on failure. A date older than one whose clean rows are loaded comes late: it fills in what is missing, and clean
+    and on failure. ``at_once`` steps of a layer run side by side. A date older than one whose clean rows are loaded comes late: it fills in what is missing, and clean
     rows that a later run wrote stay as they are; ``keep_newer=False`` overwrites them, as a plain merge does.
     """
     run_date = checked_run_date(run_date)
@@ -56,7 +57,7 @@ def run_day(
         keep_newer = is_late(lake, run_date)
 
     def layer(name: str, steps: dict[str, Callable[[], Counts]]) -> None:
-        logged(lake, name, run_date, steps.items())
+        logged(lake, name, run_date, steps, at_once)
 
     def alert() -> None:
         write_run_alert(lake, run_date, environment, "true" if export else "false", since=began)
@@ -67,10 +68,9 @@ def run_day(
         layer("bronze", {name: partial(load_bronze, lake, e, run_date, bronze_mode) for name, e in ENTITIES.items()})
         layer("silver", {name: partial(load_silver, lake, e, run_date, keep_newer=keep_newer) for name, e in ENTITIES.items()})
         layer("history", {"policyholders": partial(load_history, lake, run_date, allow_backdated=allow_backdated)})
-        gold = {a.export_name: partial(load_gold, lake, a, run_date) for a in AGGREGATES}
+        layer("gold", {a.export_name: partial(load_gold, lake, a, run_date) for a in AGGREGATES})
         if export:
-            gold |= {f"{a.export_name}_csv": partial(export_gold, lake, a, run_date) for a in AGGREGATES}
-        layer("gold", gold)
+            layer("gold", {f"{a.export_name}_csv": partial(export_gold, lake, a, run_date) for a in AGGREGATES})
     except Exception as error:
         try:
             alert()

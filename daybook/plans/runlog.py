@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -17,29 +18,38 @@ from daybook.sources.tables import Lake
 RUN_NAME = "daily_batch"
 
 
-def logged(lake: Lake, layer: str, run_date: str, steps: Iterable[tuple[str, Callable[[], Counts]]]) -> None:
-    """Do the steps of a layer in order and append their log rows, one write for all of them.
+def logged(lake: Lake, layer: str, run_date: str, steps: Mapping[str, Callable[[], Counts]], at_once: int = 1) -> None:
+    """Do the steps of a layer and append their log rows, one write for all of them.
 
-    The first failure is logged with its message, stops the rest and is raised again.
+    In order, the first failure is logged with its message and stops the rest. With ``at_once`` above 1 the steps, which
+    work on tables of their own, run side by side; all of them finish and are logged. The first failure is raised again.
     """
-    rows: list[tuple] = []
 
-    def note(entity: str, status: str, counts: Counts, message: str, started: datetime) -> None:
+    def attempt(step: tuple[str, Callable[[], Counts]]) -> tuple[tuple, Exception | None]:
+        entity, work = step
+        started, counts, error = datetime.now(timezone.utc), Counts(), None
+        try:
+            counts = work()
+        except Exception as e:
+            error = e
         ended = datetime.now(timezone.utc)
-        rows.append((RUN_NAME, layer, entity, run_date, status, *counts, int((ended - started).total_seconds()), message, started, ended))
-
-    try:
-        for entity, work in steps:
-            started = datetime.now(timezone.utc)
-            try:
-                counts = work()
-            except Exception as error:
-                note(entity, FAILED, Counts(), str(error), started)
-                raise
-            note(entity, SUCCESS, counts, "", started)
-    finally:
-        if rows:
-            lake.append(LOG_TABLE, lake.spark.createDataFrame(rows, TABLES[LOG_TABLE].schema).coalesce(1))
+        state = (SUCCESS, *counts, int((ended - started).total_seconds()), "") if error is None else (FAILED, *counts, int((ended - started).total_seconds()), str(error))
+        return (RUN_NAME, layer, entity, run_date, *state, started, ended), error
+
+    done: list[tuple[tuple, Exception | None]] = []
+    if at_once > 1:
+        with ThreadPoolExecutor(at_once) as pool:
+            done.extend(pool.map(attempt, steps.items()))
+    else:
+        for step in steps.items():
+            done.append(attempt(step))
+            if done[-1][1] is not None:
+                break
+    if done:
+        lake.append(LOG_TABLE, lake.spark.createDataFrame([row for row, _ in done], TABLES[LOG_TABLE].schema).coalesce(1))
+    for _, error in done:
+        if error is not None:
+            raise error
 
 
 def recent_log(lake: Lake, k: int = 20) -> DataFrame:
