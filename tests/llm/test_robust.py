@@ -207,3 +207,24 @@ def test_stages_take_odd_rows_and_none(spark, docs, stage):
         assert out.columns == frame.columns
         assert set((r["doc_id"],) for r in out.collect()) <= set((k,) for k, _ in given)
     assert work(spark, frame.filter("false"), "/root/testdata/sf0.001").collect() == []
+
+
+def test_katz_contexts_in_parts_give_the_same_scores(spark, docs, monkeypatch):
+    from daybook.llm import katz
+
+    rows = [(i, prose(i, 60, 12)) for i in range(30)] + [(90, None), (91, ""), (None, "A0 b1 zzz"), (5, "again " * 40)]
+    frame = docs(*rows).select(F.col("doc_id").alias("id"), "text")
+    held = F.coalesce(F.col("id") % 5 == 0, F.lit(False))
+
+    def scores():
+        found, total, words_, pairs = katz.scored(frame, held)
+        return sorted((str(r["id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)) for r in found.collect()), total
+
+    whole = scores()
+    tables = spark.catalog.listTables()
+    monkeypatch.setattr(katz, "HOT", 3)
+    monkeypatch.setattr(katz, "BUCKET_ENTRIES", 50)
+    assert scores() == whole
+    assert not [t.name for t in tables if t.name.startswith("op6_pieces")]
+    none = katz.scored(frame.filter("false"), held)
+    assert none[0].collect() == [] and none[1] == 0
