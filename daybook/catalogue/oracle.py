@@ -41,7 +41,22 @@ SILVER_FAILED = {
 }
 SILVER_REJECTED = {**SILVER_FAILED, "policies": f"({SILVER_FAILED['policies']}) OR state IS NULL"}
 
-PREFIX = {"policies": "POLICY", "policyholders": "POLICYHOLDER", "payments": "PAYMENT"}
+# Reasons as they stand in quarantine.
+BRONZE_REASON = {
+    "policies": "POLICY_BASIC_VALIDATION_FAILED",
+    "policyholders": "POLICYHOLDER_BASIC_VALIDATION_FAILED",
+    "payments": "PAYMENT_BASIC_VALIDATION_FAILED",
+}
+SILVER_REASON = {
+    "policies": "POLICY_SILVER_RULES_FAILED",
+    "policyholders": "POLICYHOLDER_SILVER_RULES_FAILED",
+    "payments": "PAYMENT_SILVER_RULES_FAILED",
+}
+SILVER_DOUBT = {
+    "policies": "POLICY_SILVER_RULES_UNKNOWN",
+    "policyholders": "POLICYHOLDER_SILVER_RULES_UNKNOWN",
+    "payments": "PAYMENT_SILVER_RULES_UNKNOWN",
+}
 SURVIVOR = {
     "policies": "written_premium DESC NULLS LAST, product NULLS FIRST, state NULLS FIRST, status NULLS FIRST",
     "policyholders": "full_name, address NULLS FIRST, city NULLS FIRST, state NULLS FIRST, zip NULLS FIRST",
@@ -59,8 +74,7 @@ def bronze(e: str, source: str | None = None) -> str:
 
 
 def bronze_rejects(e: str) -> str:
-    reason = f"{PREFIX[e]}_BASIC_VALIDATION_FAILED"
-    return f"SELECT *, '{reason}' AS reject_reason FROM ({raw(e)}) WHERE NOT ({BRONZE_VALID[e]})"
+    return f"SELECT *, '{BRONZE_REASON[e]}' AS reject_reason FROM ({raw(e)}) WHERE NOT ({BRONZE_VALID[e]})"
 
 
 def clean(e: str, source: str | None = None) -> str:
@@ -71,8 +85,7 @@ def clean(e: str, source: str | None = None) -> str:
 
 
 def silver_rejects(e: str) -> str:
-    reason = f"{PREFIX[e]}_SILVER_RULES_FAILED"
-    return f"SELECT {TEXT[e]}, '{reason}' AS reject_reason FROM ({bronze(e)}) WHERE {SILVER_FAILED[e]}"
+    return f"SELECT {TEXT[e]}, '{SILVER_REASON[e]}' AS reject_reason FROM ({bronze(e)}) WHERE {SILVER_FAILED[e]}"
 
 
 def _upserted(e: str, column: str, was: str, becomes: str) -> str:

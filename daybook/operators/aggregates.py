@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from daybook.functions.money import exact_sum
 from daybook.schemas import RUN
 
+# The status texts that count, and below the grouping columns and output names of the aggregates.
+ACTIVE, CANCELLED = "Active", "Cancelled"
+
 
 def written_premium_daily(policies: DataFrame, by: Sequence[str] = (RUN,)) -> DataFrame:
     """Premium and number of distinct policies per effective date, state and product.
@@ -36,6 +39,6 @@ def payments_daily(payments: DataFrame, by: Sequence[str] = (RUN,)) -> DataFrame
 def active_policies_daily(policies: DataFrame, by: Sequence[str] = (RUN,)) -> DataFrame:
     """Active and cancelled policies per effective date; any other status counts in neither. Case matters."""
     return policies.groupBy(F.col("effective_date").alias("day"), *by).agg(
-        F.count_if(F.col("status") == "Active").alias("active_policies"),
-        F.count_if(F.col("status") == "Cancelled").alias("cancelled_policies"),
+        F.count_if(F.col("status") == ACTIVE).alias("active_policies"),
+        F.count_if(F.col("status") == CANCELLED).alias("cancelled_policies"),
     )

@@ -28,7 +28,17 @@ PAYMENTS = "payment_id string, policy_id string, amount double, payment_date dat
 LINEAGE = "_sourceFile string, _runDate string"
 REJECTION = "reject_reason string, rejected_at timestamp"
 LOADED = "_loaded_at timestamp"
-VALIDITY = "attr_hash string, effective_start_date string, effective_end_date string, is_current boolean"
+# Columns of the change history and of the daily aggregates, in table order.
+HISTORY = (
+    "holder_id string, policy_id string, full_name string, address string, city string, state string, zip string, "
+    "attr_hash string, effective_start_date string, effective_end_date string, is_current boolean, "
+    "runDate string, _sourceFile string, _runDate string, _loaded_at timestamp"
+)
+WRITTEN_PREMIUM = (
+    "day date, state string, product string, written_premium double, policy_count bigint, _runDate string, _loaded_at timestamp"
+)
+PAYMENTS_DAILY = "day date, payments_total double, payment_count bigint, _runDate string, _loaded_at timestamp"
+ACTIVE_POLICIES = "day date, active_policies bigint, cancelled_policies bigint, _runDate string, _loaded_at timestamp"
 RUN_LOG = (
     "pipeline_name string, layer string, entity string, runDate string, status string, rows_read bigint, "
     "rows_valid bigint, rows_rejected bigint, duration_sec int, message string, started_at timestamp, ended_at timestamp"
@@ -164,7 +174,7 @@ TABLES = {
             HISTORY_TABLE,
             "silver",
             "policyholders_scd2",
-            struct(f"{_holder.ddl.removesuffix(', runDate string')}, {VALIDITY}, runDate string, {LINEAGE}, {LOADED}"),
+            struct(HISTORY),
             key=(*_holder.key, "effective_start_date"),
             partition="effective_end_date",
         ),
@@ -172,21 +182,21 @@ TABLES = {
             "gold_written_premium_daily",
             "gold",
             "written_premium_daily",
-            struct(f"day date, state string, product string, written_premium double, policy_count bigint, {RUN} string, {LOADED}"),
+            struct(WRITTEN_PREMIUM),
             key=("day", "state", "product", RUN),
         ),
         Table(
             "gold_payments_daily",
             "gold",
             "payments_daily",
-            struct(f"day date, payments_total double, payment_count bigint, {RUN} string, {LOADED}"),
+            struct(PAYMENTS_DAILY),
             key=("day", RUN),
         ),
         Table(
             "gold_active_policies_daily",
             "gold",
             "active_policies_daily",
-            struct(f"day date, active_policies bigint, cancelled_policies bigint, {RUN} string, {LOADED}"),
+            struct(ACTIVE_POLICIES),
             key=("day", RUN),
         ),
         Table(LOG_TABLE, "logs", "pipeline_run_log", struct(RUN_LOG), partition=None),

@@ -69,10 +69,9 @@ def expected(con):
     for name, entity in ENTITIES.items():
         out[entity.bronze] = sql_digest(con, oracle.bronze(name))
         out[entity.bronze_rejects] = sql_digest(con, oracle.bronze_rejects(name))
-        reason = f"{oracle.PREFIX[name]}_SILVER_RULES"
         rejected = (
-            f"SELECT {oracle.TEXT[name]}, CASE WHEN {oracle.SILVER_FAILED[name]} THEN '{reason}_FAILED' "
-            f"ELSE '{reason}_UNKNOWN' END AS reject_reason FROM ({oracle.bronze(name)}) WHERE {oracle.SILVER_REJECTED[name]}"
+            f"SELECT {oracle.TEXT[name]}, CASE WHEN {oracle.SILVER_FAILED[name]} THEN '{oracle.SILVER_REASON[name]}' "
+            f"ELSE '{oracle.SILVER_DOUBT[name]}' END AS reject_reason FROM ({oracle.bronze(name)}) WHERE {oracle.SILVER_REJECTED[name]}"
         )
         out[entity.silver_rejects] = sql_digest(con, rejected)
         if name != "policyholders":
