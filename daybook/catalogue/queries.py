@@ -33,7 +33,7 @@ from daybook.plans.history import load_history, load_history_days
 from daybook.plans.merge import merge_run
 from daybook.plans.partials import GROUPS, premium_from_states, refresh_states
 from daybook.schemas import ENTITIES, HISTORY_TABLE, RUN, TABLES, Table
-from daybook.session import new_scratch_path, write_scratch
+from daybook.session import new_scratch_path, session_setting, write_scratch
 from daybook.sources.drops import copy_drop, drop_path, read_text, write_csv
 from daybook.sources.keyed import KeyedStore
 from daybook.sources.tables import Lake
@@ -45,6 +45,8 @@ FIRST_DAY, SECOND_DAY = "2026-02-01", "2026-02-02"
 LAST_OLD_RUN, NEXT_RUN = "2026-02-04", "2026-02-05"
 # A step of the derived log counts as failed from this share of rejected rows on, in percent.
 FAILED_SHARE = 6.0
+# What a task reads at most of a table whose rows it sorts.
+SPLIT = "16m"
 
 
 # Layers as frames
@@ -63,8 +65,12 @@ def clean(spark: SparkSession, sf_dir: str, entity: str, source: str | None = No
 
 
 def stored_clean(spark: SparkSession, sf_dir: str, entity: str, source: str | None = None) -> DataFrame:
-    """The clean rows as a stored table, for queries that use them more than once."""
-    return write_scratch(clean(spark, sf_dir, entity, source), f"clean-{entity}")[0]
+    """The clean rows as a stored table, for queries that use them more than once.
+
+    One row per key is chosen in the tasks that read, which sort what they read: small splits bound that.
+    """
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT):
+        return write_scratch(clean(spark, sf_dir, entity, source), f"clean-{entity}")[0]
 
 
 def silver_rejects(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -192,7 +198,8 @@ def payments_by_holder_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments of each run under the state that the policy's holder had on that day, from the history of all days."""
     history = week_history(spark, sf_dir).select("policy_id", "state", "effective_start_date", "effective_end_date")
     versions = versions_between(history, "effective_start_date", "effective_end_date").drop("effective_start_date", "effective_end_date")
-    payments = clean(spark, sf_dir, "payments").select("policy_id", "payment_id", RUN)
+    # Used twice: for the bins that payments fall into, and for the join.
+    payments = stored_clean(spark, sf_dir, "payments").select("policy_id", "payment_id", RUN)
     placed = valid_at(payments, versions, ["policy_id"], RUN)
     return placed.groupBy(RUN, "state").agg(F.count(F.lit(1)).alias("n_payments"))
 

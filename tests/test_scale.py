@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from daybook.catalogue import views
+from daybook.catalogue import queries, views
 
 
 def star(spark, folder, customers=200, orders=50):
@@ -23,3 +23,18 @@ def test_rows_of_two_weeks_are_made_in_many_tasks(spark, tmp_path, monkeypatch):
     sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 3 and max(sizes) < rows.count() / 3
     assert sorted(rows.collect(), key=repr) == sorted(whole.collect(), key=repr)
+
+
+def test_payments_by_state_reads_the_payments_once_in_small_splits(spark, tmp_path, monkeypatch):
+    folder, splits, write = star(spark, tmp_path), [], queries.write_scratch
+
+    def noted(rows, label):
+        splits.append((label, spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        return write(rows, label)
+
+    monkeypatch.setattr(queries, "write_scratch", noted)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = queries.payments_by_holder_state(spark, folder)
+    assert not [f for f in found.inputFiles() if "lineitem" in f]
+    assert sorted(splits) == [("clean-payments", "16m"), ("clean-policyholders", "16m")]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
