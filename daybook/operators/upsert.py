@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 # Which columns a match updates, or a new row gets: names (taken from the source) or expressions over ``s`` and ``t``.
 Columns = Sequence[str] | Mapping[str, Column]
 
+# Rows that a join may broadcast, which sends them through the driver. Of more, both sides are shuffled.
+BROADCAST_ROWS = 50_000
+
+
+def shuffled_beyond(rows: DataFrame, n: int) -> DataFrame:
+    """A side of a join with ``n`` rows: Spark may broadcast it if they are few, and not by the size of compressed files."""
+    return rows.hint("merge") if n > BROADCAST_ROWS else rows
+
 
 def unmatched(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Target rows whose key does not occur in the source, of which only the keys are read.

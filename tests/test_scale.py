@@ -3,6 +3,11 @@
 from pyspark.sql import functions as F
 
 from daybook.catalogue import queries, views
+from daybook.plans.merge import merge_run
+from daybook.plans.partials import WORD, number_policies, refresh_states, states_path
+from daybook.schemas import TABLES
+
+DAY = "2026-02-01"
 
 
 def star(spark, folder, customers=200, orders=50):
@@ -15,6 +20,14 @@ def star(spark, folder, customers=200, orders=50):
     return str(folder)
 
 
+def policies(spark, n, run):
+    rows = spark.range(n).selectExpr(
+        "concat('P', xxhash64(id)) AS policy_id", "concat('p', id % 5) AS product", "'TX' AS state", "DATE'2026-01-01' AS effective_date",
+        "1.5D AS written_premium", "'Active' AS status", f"'{run}' AS runDate", "'f' AS _sourceFile", f"'{run}' AS _runDate",
+    )
+    return rows.withColumn("_loaded_at", F.current_timestamp()).select(*TABLES["silver_policies"].columns)
+
+
 def test_rows_of_two_weeks_are_made_in_many_tasks(spark, tmp_path, monkeypatch):
     folder = star(spark, tmp_path)
     whole = views.raw(spark, folder, "policyholders_week")
@@ -38,3 +51,13 @@ def test_payments_by_state_reads_the_payments_once_in_small_splits(spark, tmp_pa
     assert not [f for f in found.inputFiles() if "lineitem" in f]
     assert sorted(splits) == [("clean-payments", "16m"), ("clean-policyholders", "16m")]
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_a_state_is_as_many_words_as_its_policies_need(spark, lake):
+    merge_run(lake, "silver_policies", policies(spark, 1_000, DAY), DAY)
+    refresh_states(lake)
+    states = spark.read.parquet(states_path(lake))
+    assert dict(states.dtypes)["policies"] == "bigint"
+    # Five groups of 200 policies: each fills its words, but for the first and the last.
+    assert states.count() <= 5 * (200 // WORD + 2)
+    assert number_policies(lake, lake.read("silver_policies")).agg(F.max("number"), F.count_distinct("number")).first() == (1_000, 1_000)
