@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by collision counting over query-centred windows.
 
-Method. Each vector is projected on m random lines; every line keeps its projections sorted. A query looks at a window
-around its own projection on each line and counts, per vector, on how many lines it lies inside (collisions). Widening
-all windows by a factor is the next virtual rehashing; only the new ends are visited. Vectors whose count reaches the
-collision threshold are candidates, until enough are found; these are verified with the exact inner product in double
-precision. Largest inner product is turned into nearest distance by one more coordinate that makes all lengths equal.
+Method. Each vector is projected on m random lines; every line is cut into cells, and keeps the cell of each projection in a
+byte. A query looks at a window of cells around its own projection on each line and counts, per vector, on how many lines it
+lies inside (collisions): one pass over bytes. Widening all windows by a factor is the next virtual rehashing; the first
+that gives enough is sought from where the query before it ended. Vectors whose count reaches the collision threshold are
+candidates; these are verified with the exact inner product in double precision. Largest inner product is turned into nearest distance by one more coordinate that makes all lengths equal.
 
 Spark deals the vectors into blocks of bounded size by a hash of the id, each with its own index, and the queries into
 blocks too. Each pair of blocks gives the best of every query; the best of all blocks are ranked per query.
@@ -29,6 +29,7 @@ LINES = 96
 THRESHOLD = 66  # of LINES
 WIDTH = 0.3  # half of the first window; vectors have length 1
 WIDEN = 1.12
+CELLS = 256  # of a line; a cell's number is a byte
 VERIFIED = 0.12  # share of a block's vectors that is verified at least
 BLOCK = 16_384
 QUERY_BLOCK = 2_048
@@ -63,46 +64,63 @@ def _packed(rows: DataFrame, block: str) -> DataFrame:
 
 
 class Index:
-    """Sorted projections of one block."""
+    """The cells of one block's projections."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, seed: int):
-        self.ids, self.vectors, self.seed = ids, vectors, seed
+        self.ids, self.vectors, self.longest, self.seed = ids, vectors, longest, seed
         scaled = vectors / longest
         extra = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(1)))
         projected = np.column_stack([scaled, extra]) @ _lines(vectors.shape[1], seed)
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32).copy()
-        # One ascending array for all lines: line i is moved by i * apart.
-        self.apart = 4 * float(np.abs(projected).max()) + 4
-        self.shift = np.arange(LINES) * self.apart
-        self.sorted = (np.sort(projected, axis=0) + self.shift).T.ravel()
+        self.reach = float(np.abs(projected).max()) or 1.0
+        self.cells = np.ascontiguousarray(self.cell(projected).T)
+        self.moved, self.inside = np.empty_like(self.cells), np.empty(self.cells.shape, bool)
+        self.round = 0
+
+    def cell(self, place: np.ndarray) -> np.ndarray:
+        return np.clip((place + self.reach) * (CELLS / 2 / self.reach), 0, CELLS - 1).astype(np.uint8)
 
     def centres(self, queries: np.ndarray) -> np.ndarray:
         unit = queries / np.sqrt((queries * queries).sum(1, keepdims=True))
         return np.column_stack([unit, np.zeros(len(queries))]) @ _lines(self.vectors.shape[1], self.seed)
 
+    def collisions(self, centre: np.ndarray, turn: int) -> np.ndarray:
+        """On how many lines each vector lies inside the window of a turn."""
+        half = WIDTH * WIDEN**turn
+        low, high = self.cell(centre - half), self.cell(centre + half)
+        # Cells below the window wrap around to large numbers.
+        np.subtract(self.cells, low[:, None], out=self.moved)
+        np.less_equal(self.moved, (high - low)[:, None], out=self.inside)
+        return np.add.reduce(self.inside.view(np.uint8), axis=0, dtype=np.uint8)
+
     def candidates(self, centre: np.ndarray, want: int) -> np.ndarray:
-        n = len(self.ids)
-        counts, half = np.zeros(n, np.int64), WIDTH
-        begin = np.arange(LINES) * n
-        centre = np.clip(centre, -self.apart / 2, self.apart / 2) + self.shift
-        lo = hi = None
-        while True:
-            new_lo = np.clip(self.sorted.searchsorted(centre - half) - begin, 0, n)
-            new_hi = np.clip(self.sorted.searchsorted(centre + half, "right") - begin, 0, n)
-            if lo is None:
-                lo = hi = new_lo
-            ends = zip(self.order, new_lo.tolist(), lo.tolist(), hi.tolist(), new_hi.tolist())
-            parts = [p for o, a, b, c, d in ends for p in (o[a:b], o[c:d])]
-            counts += np.bincount(np.concatenate(parts), minlength=n)
-            lo, hi = new_lo, new_hi
-            found = np.flatnonzero(counts >= THRESHOLD)
-            if len(found) >= want or (hi - lo).min() == n:
+        """The vectors over the threshold in the first turn that has ``want`` of them; windows only grow with the turn."""
+
+        def over() -> np.ndarray:
+            return np.flatnonzero(self.collisions(centre, self.round) >= THRESHOLD)
+
+        found = over()
+        while len(found) < want:
+            self.round += 1
+            found = over()
+            if len(found) >= want:
                 return found
-            half *= WIDEN
+        while self.round:
+            self.round -= 1
+            fewer = over()
+            if len(fewer) < want:
+                self.round += 1
+                break
+            found = fewer
+        return found
 
     def best(self, key: int, query: np.ndarray, centre: np.ndarray, k: int, verify: int) -> tuple[np.ndarray, np.ndarray]:
         found = self.candidates(centre, min(len(self.ids), max(verify, ceil(VERIFIED * len(self.ids)))))
         found = found[self.ids[found] != key]
+        if len(found) > k:
+            # A quick product leaves the best and what rounding might have put behind them.
+            near = self.vectors[found] @ query
+            rounding = 1e-9 * self.longest * float(np.sqrt(query @ query))
+            found = found[~(near < np.partition(near, -k)[-k] - rounding)]
         scores = np.cumsum(self.vectors[found] * query, axis=1)[:, -1] if len(found) else np.zeros(0)
         top = np.lexsort((self.ids[found], -scores))[:k]
         return self.ids[found[top]], scores[top]
