@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook.operators.dedupe import one_per_run_key
 from daybook.operators.history import as_versions, changed_versions, expired_versions, history_of_days
 from daybook.operators.rules import SILVER_RULES
-from daybook.operators.upsert import upsert
+from daybook.operators.upsert import shuffled_beyond, upsert
 from daybook.plans.counts import Counts
 from daybook.schemas import ENTITIES, HISTORY_TABLE, OPEN_END, RUN
 from daybook.sources.tables import Lake, checked_run_date
@@ -36,7 +36,8 @@ def load_history(
     open_versions = history.where(F.col("effective_end_date") == OPEN_END)
 
     versions = as_versions(snapshot, HOLDERS.tracked, run_date).select(*history.columns)
-    changed = changed_versions(versions, open_versions, key)
+    # The count reads file footers.
+    changed = changed_versions(versions, shuffled_beyond(open_versions, open_versions.count()), key)
     with lake.staged(changed, HISTORY_TABLE) as changes:
         seen = changes.agg(
             F.count(F.lit(1)).alias("changed"),
@@ -47,11 +48,12 @@ def load_history(
         if seen["closed"] and seen["latest"] > run_date and not allow_backdated:
             raise ValueError(f"back-dated run {run_date}: a version starting {seen['latest']} exists")
 
+        changes = shuffled_beyond(changes, seen["changed"])
         if seen["closed"]:
             # Few rows from many tasks: let Spark gather them into files of a sensible size.
             expired = expired_versions(open_versions, changes, key)
             closed_before = history.where(F.col("effective_end_date") == run_date)
-            closed = upsert(closed_before, expired, [*key, "effective_start_date"])
+            closed = upsert(closed_before, shuffled_beyond(expired, seen["closed"]), [*key, "effective_start_date"])
             lake.overwrite_partitions(HISTORY_TABLE, closed.hint("rebalance"))
         if seen["changed"]:
             opened = upsert(open_versions, changes.drop("replaced_start"), key)
@@ -82,7 +84,8 @@ def load_history_days(
         closed_on = sorted(set(ends) - {OPEN_END})
         if closed_on:
             closed_before = history.where(F.col("effective_end_date").isin(closed_on))
-            closed = upsert(closed_before, versions.where(~F.col("is_current")), [*HOLDERS.key, "effective_start_date"])
+            expired = shuffled_beyond(versions.where(~F.col("is_current")), sum(ends[d] for d in closed_on))
+            closed = upsert(closed_before, expired, [*HOLDERS.key, "effective_start_date"])
             lake.overwrite_partitions(HISTORY_TABLE, closed.hint("rebalance", "effective_end_date"))
         if ends:
             lake.overwrite_partitions(HISTORY_TABLE, versions.where(F.col("is_current")))

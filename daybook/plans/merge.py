@@ -13,7 +13,7 @@ from contextlib import ExitStack
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.upsert import Columns, applied_rows, unmatched
+from daybook.operators.upsert import Columns, applied_rows, shuffled_beyond, unmatched
 from daybook.schemas import RUN, TABLES
 from daybook.sources.tables import Lake
 
@@ -44,6 +44,7 @@ def merge_run(
         if not seen["n"]:
             return 0
         applied = seen["n"]
+        rows = shuffled_beyond(rows, seen["n"])
 
         # Equal keys lie between the batch's smallest and largest: the scan skips files and row groups outside.
         target = lake.read(table)
@@ -59,7 +60,7 @@ def merge_run(
         if update is not None or insert is not None:
             chosen = applied_rows(in_range, rows, key, update, insert).withColumn(RUN, F.lit(run_date))
             # Reads the target, of which parts are about to be replaced, and is read twice below.
-            rows = stack.enter_context(lake.staged(chosen, table))
+            rows = shuffled_beyond(stack.enter_context(lake.staged(chosen, table)), seen["n"])
         sizes = _rows_per_run(target, replaced)
         emptied = sorted(run for run, n in replaced.items() if n == sizes[run])
         rewritten = sorted(set(replaced) - set(emptied))

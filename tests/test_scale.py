@@ -1,13 +1,17 @@
 """What a task holds and what passes the driver do not grow with the tables."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from daybook.catalogue import queries, views
+from daybook.operators import upsert
+from daybook.plans import history
 from daybook.plans.merge import merge_run
 from daybook.plans.partials import WORD, number_policies, refresh_states, states_path
-from daybook.schemas import TABLES
+from daybook.schemas import ENTITIES, HISTORY_TABLE, TABLES
 
-DAY = "2026-02-01"
+DAY, NEXT = "2026-02-01", "2026-02-02"
 
 
 def star(spark, folder, customers=200, orders=50):
@@ -61,3 +65,41 @@ def test_a_state_is_as_many_words_as_its_policies_need(spark, lake):
     # Five groups of 200 policies: each fills its words, but for the first and the last.
     assert states.count() <= 5 * (200 // WORD + 2)
     assert number_policies(lake, lake.read("silver_policies")).agg(F.max("number"), F.count_distinct("number")).first() == (1_000, 1_000)
+
+
+@contextmanager
+def broadcasts(spark, monkeypatch):
+    """The broadcast joins of every write to the lake inside."""
+    found, write = [], type(spark.range(1).write).parquet
+
+    def noted(writer, *args, **options):
+        found.append("BroadcastHashJoin" in writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark.range(1).write), "parquet", noted)
+        yield found
+
+
+def test_many_keys_of_a_merge_do_not_pass_the_driver(spark, lake, monkeypatch):
+    merge_run(lake, "silver_policies", policies(spark, 300, DAY), DAY)
+    monkeypatch.setattr(upsert, "BROADCAST_ROWS", 50)
+    with broadcasts(spark, monkeypatch) as found:
+        merge_run(lake, "silver_policies", policies(spark, 200, NEXT), NEXT)
+    assert found and not any(found)
+    assert {r["_runDate"]: r["count"] for r in lake.read("silver_policies").groupBy("_runDate").count().collect()} == {DAY: 100, NEXT: 200}
+
+
+def test_many_open_versions_do_not_pass_the_driver(spark, lake, monkeypatch):
+    def snapshot(run, state):
+        columns = {c: F.concat(F.lit(c), "id") for c in ENTITIES["policyholders"].columns}
+        rows = spark.range(200).select(*[v.alias(c) for c, v in columns.items()]).withColumns({"state": F.lit(state), "_runDate": F.lit(run), "_sourceFile": F.lit("f")})
+        return rows.withColumn("runDate", F.lit(run)).withColumn("_loaded_at", F.current_timestamp())
+
+    history.load_history(lake, DAY, snapshot(DAY, "TX"))
+    monkeypatch.setattr(upsert, "BROADCAST_ROWS", 50)
+    with broadcasts(spark, monkeypatch) as found:
+        history.load_history(lake, NEXT, snapshot(NEXT, "CA"))
+    assert found and not any(found)
+    rows = lake.read(HISTORY_TABLE)
+    assert (rows.count(), rows.where("is_current AND state = 'CA'").count()) == (400, 200)
