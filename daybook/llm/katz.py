@@ -116,7 +116,7 @@ UNI = "bucket long, piece long, words binary, ids binary, counts binary, stats a
 def _word_requests(rows: DataFrame, bits: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 own, tokens, train = _unpack(row["words"], "<u8"), _unpack(row["tokens"], "<i4"), _training(row)
                 counts = np.bincount(tokens[train], minlength=len(own)).astype(np.int32)
                 counts[np.searchsorted(own, START)] = int((~_unpack(row["held"], "?")).sum())
@@ -166,8 +166,8 @@ BI = "bucket long, piece long, units binary, fan binary, second binary, counts b
 class Local:
     """A piece with its words in the order of their numbers, and its pairs in the order in which they are sent."""
 
-    def __init__(self, row: dict, bits: int):
-        answers = sorted(row["answers"], key=lambda a: a["bucket"])
+    def __init__(self, row: dict, answers: list[dict], bits: int):
+        answers = sorted(answers, key=lambda a: a["bucket"])
         own = _unpack(row["words"], "<u8")
         number = np.concatenate([_unpack(a["ids"], "<u4") for a in answers])
         order = np.argsort(number)
@@ -208,31 +208,37 @@ class Local:
         self.fan = np.bincount(at, minlength=len(units))
 
 
-def _bigram_requests(rows: DataFrame, bits: int) -> DataFrame:
+def _with_answers(rows: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` of each piece (a row) and the list of its answers. A task holds one piece at a time, and answers stay rows of their own."""
+
+    def one(piece: pa.Table, own: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([run(piece.to_pylist()[0], own.to_pylist())])
+
+    return rows.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(one, schema)
+
+
+def _bigram_requests(rows: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
     names, kinds = [c.split()[0] for c in ASK.split(", ")], [pa.int64()] * 2 + [pa.binary()] * 5
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                x = Local(row, bits)
-                amount = np.bincount(np.searchsorted(x.ask, x.pair[x.can & x.train]), minlength=len(x.ask)).astype(np.int32)[x.order]
-                word = (x.ask & 0xFFFFFFFF)[x.order]
-                entry = np.concatenate([[0], np.cumsum(x.fan)])
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(x.buckets)) + 1, [len(x.buckets)]]).tolist()
-                for i, j in zip(cuts, cuts[1:]):
-                    if j > i:
-                        u, e = slice(i, j), slice(entry[i], entry[j])
-                        yield _binary(
-                            [
-                                (
-                                    int(x.buckets[i]), row["piece"], _pack(x.keys[u]), _pack(x.fan[u].astype(np.int32)),
-                                    _pack(x.number[word[e]].astype("<u4")), _pack(amount[e]), _pack(x.counts[word[e]]),
-                                )
-                            ],
-                            names, kinds,
-                        )
-
-    return rows.select("piece", "held", "sizes", "words", "tokens", "answers").mapInArrow(run, ASK)
+    def run(row: dict, own: list[dict]) -> pa.RecordBatch:
+        x = Local(row, own, bits)
+        amount = np.bincount(np.searchsorted(x.ask, x.pair[x.can & x.train]), minlength=len(x.ask)).astype(np.int32)[x.order]
+        word = (x.ask & 0xFFFFFFFF)[x.order]
+        entry = np.concatenate([[0], np.cumsum(x.fan)])
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(x.buckets)) + 1, [len(x.buckets)]]).tolist()
+        out = []
+        for i, j in zip(cuts, cuts[1:]):
+            if j > i:
+                u, e = slice(i, j), slice(entry[i], entry[j])
+                out.append(
+                    (
+                        int(x.buckets[i]), row["piece"], _pack(x.keys[u]), _pack(x.fan[u].astype(np.int32)),
+                        _pack(x.number[word[e]].astype("<u4")), _pack(amount[e]), _pack(x.counts[word[e]]),
+                    )
+                )
+        return _binary(out, names, kinds)
+
+    return _with_answers(rows.select("piece", "held", "sizes", "words", "tokens"), answers, run, ASK)
 
 
 def _bigram_counts(requests: DataFrame, p_word) -> DataFrame:
@@ -327,41 +333,44 @@ def backoff(context_count: np.ndarray, seen: np.ndarray, share: np.ndarray, d: n
 SCORES = "id long, held boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scores(rows: DataFrame, bits: int, p_word: Words, n_types: int, d: np.ndarray) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                x = Local(row, bits)
-                begins = np.cumsum(x.sizes) - x.sizes
-                c = x.counts[x.tokens]
-                log_p = np.log10(p_word(c))
-                # Contexts without pairs in the model give all their mass to single words: alpha is 1.
-                answers = sorted(row["pair_answers"] or [], key=lambda a: a["bucket"])
-                if answers:
-                    both = np.empty(len(x.ask), np.int64)
-                    both[x.order] = np.concatenate([_unpack(a["counts"], "<i4") for a in answers])
-                    context = x.units >> 32
-                    heads = distinct(context)
-                    at = np.searchsorted(heads, context)
-                    seen, share = np.zeros((len(heads), K + 1), np.int64), np.zeros(len(heads))
-                    np.add.at(seen, at, np.concatenate([_unpack(a["seen"], "<i8").reshape(-1, K + 1) for a in answers]))
-                    np.add.at(share, at, np.concatenate([_unpack(a["share"], "<f8") for a in answers]))
-                    alpha, factor = np.ones(len(x.number)), np.ones(len(x.number))
-                    factor[heads], alpha[heads] = backoff(x.counts[heads], seen, share, d)
-                    place = np.minimum(np.searchsorted(x.ask, x.pair), len(x.ask) - 1)
-                    n = np.where(x.can, both[place], 0)
-                    before, use = x.pair >> 32, n > 0
-                    log_p += np.log10(np.maximum(alpha[before], 1e-300))
-                    log_p[use] = np.log10(factor[before[use]] * d[np.minimum(n[use], K + 1)] * n[use] / x.counts[before[use]])
-                base = np.log10((c + 1) / (p_word.total + n_types + 1))
-                add = lambda v: np.add.reduceat(v, begins)
-                ids = pa.array(_unpack(row["ids"], "<i8"), mask=_unpack(row["no_id"], "?"))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(_unpack(row["held"], "?")), pa.array(x.sizes), pa.array(add((c > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(log_p))],
-                    [v.split()[0] for v in SCORES.split(", ")],
-                )
-
-    return rows.mapInArrow(run, SCORES)
+def _scores(rows: DataFrame, answers: DataFrame, bits: int, p_word: Words, n_types: int, d: np.ndarray) -> DataFrame:
+    """``answers``: of words, and of pairs (column ``seen`` not null)."""
+
+    def run(row: dict, own: list[dict]) -> pa.RecordBatch:
+        x = Local(row, [a for a in own if a["seen"] is None], bits)
+        begins = np.cumsum(x.sizes) - x.sizes
+        log_p = np.log10(p_word(x.counts))[x.tokens]
+        # Contexts without pairs in the model give all their mass to single words: alpha is 1.
+        of_pairs = sorted((a for a in own if a["seen"] is not None), key=lambda a: a["bucket"])
+        if of_pairs:
+            n = np.empty(len(x.ask), np.int64)
+            n[x.order] = np.concatenate([_unpack(a["counts"], "<i4") for a in of_pairs])
+            context = x.units >> 32
+            heads = distinct(context)
+            at = np.searchsorted(heads, context)
+            seen, share = np.zeros((len(heads), K + 1), np.int64), np.zeros(len(heads))
+            np.add.at(seen, at, np.concatenate([_unpack(a["seen"], "<i8").reshape(-1, K + 1) for a in of_pairs]))
+            np.add.at(share, at, np.concatenate([_unpack(a["share"], "<f8") for a in of_pairs]))
+            alpha, factor = np.ones(len(x.number)), np.ones(len(x.number))
+            factor[heads], alpha[heads] = backoff(x.counts[heads], seen, share, d)
+            # Logarithms of pairs and contexts are taken once each, then dealt to the tokens.
+            known = n > 0
+            before, n = (x.ask >> 32)[known], n[known]
+            log_pair = np.zeros(len(x.ask))
+            log_pair[known] = np.log10(factor[before] * d[np.minimum(n, K + 1)] * n / x.counts[before])
+            place = np.minimum(np.searchsorted(x.ask, x.pair), len(x.ask) - 1)
+            use = x.can & known[place]
+            log_p += np.log10(np.maximum(alpha, 1e-300))[x.pair >> 32]
+            log_p[use] = log_pair[place[use]]
+        base = np.log10((x.counts + 1) / (p_word.total + n_types + 1))[x.tokens]
+        add = lambda v: np.add.reduceat(v, begins)
+        ids = pa.array(_unpack(row["ids"], "<i8"), mask=_unpack(row["no_id"], "?"))
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(_unpack(row["held"], "?")), pa.array(x.sizes), pa.array(add((x.counts > 0)[x.tokens].astype(np.int64))), pa.array(add(base)), pa.array(add(log_p))],
+            [v.split()[0] for v in SCORES.split(", ")],
+        )
+
+    return _with_answers(rows.drop("n_words"), answers, run, SCORES)
 
 
 def _bits(entries: int) -> int:
@@ -389,17 +398,17 @@ def scored(docs: DataFrame, held: Column) -> tuple[DataFrame, int, DataFrame, Da
         total, n_types, *of_counts = (int(x or 0) for x in sums)
         p_word = Words(total, of_counts)
 
-        answers = uni.filter("piece is not null").groupBy("piece").agg(F.collect_list(F.struct("bucket", "ids", "counts")).alias("answers"))
-        asked = rows.join(answers, "piece")
+        answers = uni.filter("piece is not null").select("piece", "bucket", "ids", "counts")
         # About six pairs are sent for each distinct word of a piece.
         bits = _bits(6 * entries)
-        bi = staged(_bigram_counts(_bigram_requests(asked, bits), p_word), "op6-bigrams", keep=True)
+        bi = staged(_bigram_counts(_bigram_requests(rows, answers, bits), p_word), "op6-bigrams", keep=True)
         sums = bi.filter("piece is null").agg(*(F.sum(F.col("stats")[i]) for i in range(K + 1))).first()
         d = discounts([int(x or 0) for x in sums])
 
-        pair_answers = bi.filter("piece is not null").groupBy("piece").agg(F.collect_list(F.struct("bucket", "counts", "seen", "share")).alias("pair_answers"))
+        pair_answers = bi.filter("piece is not null").select("piece", "bucket", "counts", "seen", "share")
+        answers = answers.unionByName(pair_answers, allowMissingColumns=True)
         # Written, so that the pieces can go.
-        scores = staged(_scores(asked.join(pair_answers, "piece", "left"), bits, p_word, n_types, d), "op6-scores", keep=True)
+        scores = staged(_scores(rows, answers, bits, p_word, n_types, d), "op6-scores", keep=True)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove_path(spark, path)
