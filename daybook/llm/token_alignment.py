@@ -10,8 +10,9 @@ Both tokenizers split at a space behind a character that is no white space: A's
 word, and no piece of B has its space mark behind another character (checked when B is loaded; texts stay whole if one
 has). So a text is aligned piece by piece, each different piece once per block of texts, which gives the ids of the whole.
 
-Corpus-wide, an id pair's count is the number of rows that hold it linked. Blocks of about 8 MB of text are written with
-their links; each sends its distinct pairs once, which are added up, and gets their counts back.
+Corpus-wide, an id pair's count is the number of rows that hold it linked. Blocks of about 4 MB of text are written with
+their links; each sends its distinct pairs once, which are added up, and gets their counts back. A worker cuts a portion of a
+block into pieces at a time, and gives back after each block what it has freed.
 
 ``aligned`` takes columns ``id`` and ``text``; others are not read. Strings of special tokens are plain text. Null text,
 empty text, and text whose tokens do not decode to a space and the text (U+2581 in it) have no tokens: zeros, and an
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -36,11 +38,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daybook.llm.bpe import Vocabulary
-from daybook.llm.common import passing, staged
+from daybook.llm.common import freed, give_back, passing, staged
 from daybook.llm.textvec import distinct, slices
 
-BLOCK_BYTES = 8 << 20
-CACHED = 400_000  # pieces whose alignment a task keeps between blocks
+BLOCK_BYTES = 4 << 20
+PORTION = 512 << 10  # characters of a block that are in pieces at a time
+CACHED = 200_000  # pieces whose alignment a task keeps between blocks
 ENCODED = 10_000  # pieces encoded together
 JOINED = 1_000  # pieces that make one text for the tokenizers
 # A space, what follows up to the next space behind a character that is no white space, and white space at the end.
@@ -74,6 +77,7 @@ class Pair:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
+        self.added: list[tuple[np.ndarray, ...]] = []  # by pieces encoded together, until all are
         self.fits, self.size, self.uses = np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.counts, self.pairs = np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
 
@@ -115,6 +119,10 @@ class Pair:
         for at in range(0, len(rest), ENCODED):
             part = rest[at : at + ENCODED]
             self._encode(part, [[p] for p in part])
+        if self.added:
+            self.fits, self.size, self.counts, self.pairs = (np.concatenate(x) for x in zip((self.fits, self.size, self.counts, self.pairs), *self.added))
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.size) - len(self.uses), np.int64)])
+            self.added.clear()
 
     def _encode(self, pieces: list[str], texts: list[list[str]]) -> None:
         """Align ``pieces``, which follow each other in ``texts``."""
@@ -166,11 +174,7 @@ class Pair:
         for size in (n_a + n_b).tolist():
             self.groups.append("".join(texts[at : at + size])[:-1])
             at += size
-        self.fits = np.concatenate([self.fits, fits])
-        self.uses = np.concatenate([self.uses, np.zeros(n, np.int64)])
-        self.size = np.concatenate([self.size, np.bincount(a.piece[take], minlength=n)])
-        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups], axis=1)])
-        self.pairs = np.concatenate([self.pairs, pairs])
+        self.added.append((fits, np.bincount(a.piece[take], minlength=n), np.stack([n_a, n_b, n_groups], axis=1), pairs))
 
 
 def _both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -246,18 +250,31 @@ class Tokens:
         return np.where(last, self.side.last[self.ids], self.side.inside[self.ids])
 
 
+def _portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts in order, of about ``PORTION`` characters together; a longer text is a portion of its own."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text or "") > PORTION:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text or "")
+    if part:
+        yield part
+
+
 def _block(pair: Pair, texts: list[str | None]):
     """Alignment of many texts: numbers per text, distinct pairs, and each text's pairs as places among these."""
     if len(pair.known) > CACHED:
         pair.thin_out()
-    split = [pair.pieces(t) if t else None for t in texts]
-    new = set().union(*[p for p in split if p]).difference(pair.known)
-    pair.align(sorted(new))
-    known, groups = pair.known, pair.groups
+    known, groups, held = pair.known, pair.groups, []
+    for part in _portions(texts):
+        split = [pair.pieces(t) if t else None for t in part]
+        pair.align(sorted(set().union(*[p for p in split if p]).difference(known)))
+        held += [np.array([known[p] for p in pieces], np.int32) if pieces else None for pieces in split]
     fits, size, counts = pair.fits, pair.size, pair.counts
-    held = [np.array([known[p] for p in pieces], np.int64) if pieces else None for pieces in split]
     # The block's own pieces, and their pairs, numbered anew.
-    met = np.concatenate([h for h in held if h is not None] or [np.zeros(0, np.int64)])
+    met = np.concatenate([h for h in held if h is not None] or [np.zeros(0, np.int32)])
     pair.uses += np.bincount(met, minlength=len(pair.uses))
     own = distinct(met)
     begin = np.cumsum(size) - size
@@ -275,14 +292,14 @@ def _block(pair: Pair, texts: list[str | None]):
             take = np.arange(of.sum()) - np.repeat(np.cumsum(of) - of, of) + np.repeat(own_begin[piece], of)
             linked, back = _numbered(place[take])
             at.append(linked.astype(np.int32))
-            times.append(np.bincount(back, np.repeat(often, of)).astype(np.int64))
+            times.append(np.bincount(back, np.repeat(often, of)).astype(np.int32))
             sums[n, :3] = counts[piece].T @ often
             sums[n, 3] = of @ often
             digest = hashlib.sha256(";".join([groups[i] for i in pieces.tolist()]).encode()).hexdigest()
         digests.append(digest)
         ends.append(len(at[-1]) if digest else 0)
     at = np.concatenate(at) if at else np.zeros(0, np.int32)
-    times = np.concatenate(times) if times else np.zeros(0, np.int64)
+    times = np.concatenate(times) if times else np.zeros(0, np.int32)
     rows = np.bincount(at, minlength=len(pairs)).astype(np.int64)
     used = rows > 0
     at = (np.cumsum(used) - 1)[at].astype(np.int32)
@@ -318,9 +335,10 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 ]
                 made += 1
                 yield pa.RecordBatch.from_arrays(columns, ["block", "ids", "digests", *NUMBERS])
+                give_back()
 
     schema = f"block long, ids array<{id_type}>, digests array<string>, " + ", ".join(f"{n} binary" for n in NUMBERS)
-    return staged(docs.select("id", "text").mapInArrow(run, schema), "op12-blocks", keep=True)
+    return staged(docs.select("id", "text").mapInArrow(freed(run), schema), "op12-blocks", keep=True)
 
 
 def _requests(blocks: DataFrame) -> DataFrame:
@@ -350,7 +368,9 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     blocks = _blocks(docs, path_a, path_b)
     with passing(docs.sparkSession):
         requests = _requests(blocks)
-        answers = requests.join(staged(pair_counts(requests), "op12-counts"), "pair").select("block", "pair", "count", "best")
+        # By shuffle: their files look small, but the counts grow with the corpus, and each executor would hold them all.
+        counts = staged(pair_counts(requests), "op12-counts").hint("merge")
+        answers = requests.join(counts, "pair").select("block", "pair", "count", "best")
         answers = staged(answers.hint("rebalance", "block"), "op12-answers", keep=True)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -362,7 +382,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             # Of one block: (rows, 4) sums, and each row's links as places among the block's pairs.
             data = {n: left.column(n)[row].as_py() for n in NUMBERS}
             sums, ends = np.frombuffer(data["sums"], np.int64).reshape(-1, 4), np.frombuffer(data["ends"], np.int64)
-            at, times = np.frombuffer(data["at"], np.int32), np.frombuffer(data["times"], np.int64)
+            at, times = np.frombuffer(data["at"], np.int32), np.frombuffer(data["times"], np.int32)
             bounds = np.concatenate([[0], ends])
 
             def total(values):
